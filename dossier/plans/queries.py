@@ -501,7 +501,7 @@ def incremental(spark, sf_dir):
     base = work_dir(spark, "incremental")
     schema = table(spark, sf_dir, "documents").schema
     return incremental_files(
-        spark, f"{sf_dir}/documents.parquet", f"{base}/out", f"{base}/checkpoint", schema,
+        spark, f"{sf_dir}/{{documents.parquet}}", f"{base}/out", f"{base}/checkpoint", schema,
         lambda df: df.select("doc_id", "source", F.length("text").cast("bigint").alias("n_chars")),
     )
 

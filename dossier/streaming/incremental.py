@@ -19,6 +19,7 @@ def incremental_files(
 ) -> DataFrame:
     """Apply ``fn`` to all files not yet seen, add the result to ``out``, return ``out``.
 
+    ``src`` is a folder, or a glob for single files.
     The checkpoint remembers processed files; the file sink commits each batch once, so
     a run that is lost half-way can be started again. ``checkpoint`` and ``out`` belong
     in the folder all executors share.
