@@ -48,20 +48,18 @@ def flatten_polygon(points: Column) -> Column:
 
 
 def norm_box(coords: Column, width: Column, height: Column) -> Column:
-    """Coordinates scaled to 0..1000 by page size, cut toward zero.
+    """Coordinates scaled to 0..1000 by page size, cut toward zero; null for a page of zero size.
 
-    Even places are x, odd places y. A zero size gives nulls, which
-    ``drop_broken_boxes`` removes. Clamping comes before the cast, which
-    would overflow on huge values.
+    Even places are x, odd places y. Clamping comes before the cast, which would
+    overflow on huge values.
     """
 
     def scaled(c, i):
-        size = F.when(i % 2 == 0, width).otherwise(height)
-        value = F.lit(float(BOX_SCALE)) * F.try_divide(c.cast("double"), size.cast("double"))
-        clamped = F.when(value < 0, F.lit(0.0)).when(value > BOX_SCALE, F.lit(float(BOX_SCALE))).otherwise(value)
-        return clamped.cast("int")
+        size = F.when(i % 2 == 0, width).otherwise(height).cast("double")
+        value = F.lit(float(BOX_SCALE)) * (c.cast("double") / size)
+        return F.greatest(F.lit(0.0), F.least(F.lit(float(BOX_SCALE)), value)).cast("int")
 
-    return F.transform(coords, scaled)
+    return F.when((width != 0) & (height != 0), F.transform(coords, scaled))
 
 
 def pack(seq: Column, n: int = SEQUENCE_LENGTH, pad: Column | int = 0) -> Column:

@@ -13,6 +13,8 @@ PATTERNS = {
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "phone": r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}",
 }
+# Every number, IP address and phone number holds one of these.
+DIGITS_NEEDED = r"[0-9]{3}|[0-9]\.[0-9]"
 
 
 def surrogate(kind: str, key: Column, seed: int) -> Column:
@@ -33,8 +35,12 @@ def surrogate(kind: str, key: Column, seed: int) -> Column:
 def scrub_pii(text: Column, key: Column, seed: int = 42) -> Column:
     """Overwrite mail addresses, long numbers, IP addresses and phone numbers.
 
-    Names and street addresses have no pattern; they need a model's labels.
+    Texts without what every match must hold skip the patterns. Names and street
+    addresses have no pattern; they need a model's labels.
     """
+    original = text
     for kind, pattern in PATTERNS.items():
-        text = F.regexp_replace(text, F.lit(pattern), surrogate(kind, key, seed))
+        replaced = F.regexp_replace(text, F.lit(pattern), surrogate(kind, key, seed))
+        needed = F.contains(original, F.lit("@")) if kind == "email" else F.regexp_like(original, F.lit(DIGITS_NEEDED))
+        text = F.when(needed, replaced).otherwise(text)
     return text

@@ -38,10 +38,12 @@ PROMPT_FORMAT = """    请你根据简历与岗位描述评估匹配度，并以
 PROMPT_RESUME = "\n        简历: "
 PROMPT_END = "\n        "
 
-# Section headers of an instruction record and of a target record.
-SECTION_PATTERN = (
-    r"(?s)\A岗位描述：(.*?)\n简历内容：(.*?)\n*Education: (.*?)\n\nWork Experience: (.*?)"
-    r"\n\nProjects: (.*?)\n\nSkills: (.*?)\n\nCertifications: (.*?)\n\nLanguages: ?(.*)\z"
+# Section headers of an instruction record and of a target record, in
+# order. The first stands at the beginning; newlines before "Education" may be absent.
+RECORD_START = "岗位描述："
+SECTION_STARTS = (
+    r"\n简历内容：", r"\n*Education: ", r"\n\nWork Experience: ", r"\n\nProjects: ",
+    r"\n\nSkills: ", r"\n\nCertifications: ", r"\n\nLanguages: ?",
 )
 SECTION_FIELDS = (
     "job", "summary", "education", "work_experience", "projects", "skills",
@@ -182,15 +184,25 @@ def out_path(path: Column, root: str, out_root: str, suffix: str = "_train") ->
 def parse_instruction(text: Column) -> Column:
     """Job, summary and six résumé sections of an instruction record, as a struct.
 
-    All fields are null if the text does not have the layout.
+    The text is cut at the first occurrence of each header in turn, so every part of
+    it is searched once. All fields are null if a header is missing.
     """
-    fits = F.regexp_like(text, F.lit(SECTION_PATTERN))
-    return F.struct(
-        *[
-            F.when(fits, F.regexp_extract(text, SECTION_PATTERN, i)).alias(name)
-            for i, name in enumerate(SECTION_FIELDS, start=1)
-        ]
-    )
+    body = F.when(F.startswith(text, F.lit(RECORD_START)), F.substring(text, len(RECORD_START) + 1, 2**31 - 1))
+    start = F.struct(F.array(F.lit(""), body).alias("parts"), F.array().cast("array<string>").alias("done"))
+
+    def cut(state, header):
+        rest = F.try_element_at(state["parts"], F.lit(2))
+        done = F.concat(state["done"], F.slice(state["parts"], 1, 1))
+        return F.struct(F.split(rest, header, 2).alias("parts"), done.alias("done"))
+
+    def fields(state):
+        complete = F.size(state["parts"]) == 2
+        values = F.concat(state["done"], state["parts"])
+        return F.struct(*[
+            F.when(complete, values[i]).alias(name) for i, name in enumerate(SECTION_FIELDS, start=1)
+        ])
+
+    return F.aggregate(F.array(*[F.lit(h) for h in SECTION_STARTS]), start, cut, fields)
 
 
 def list_items(section: Column) -> Column:

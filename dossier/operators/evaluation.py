@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.functions.metrics import mae, mse, pearson
+from dossier.functions.metrics import cosine, mse
 from dossier.operators.ranking import avg_rank
 from dossier.operators.skew import attach
 from dossier.session import written
@@ -31,47 +31,59 @@ def pair_counts(df: DataFrame, pred: str, true: str) -> DataFrame:
     )
 
 
-def spearman(df: DataFrame, a: str, b: str, by: list[str] = (), out: str = "spearman") -> DataFrame:
-    """Pearson correlation of average ranks; null for constant input or one row.
+def _pair_sums(df: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:
+    """Weighted sums behind all pair metrics, one row per group (one in total without ``by``).
 
-    Works on distinct (a, b) pairs with their counts, written once to the shared work
-    folder so that the input (often a model run) is read a single time. The mean rank of a group of n
-    rows is (n + 1) / 2, so deviations are exact and nothing cancels at large n.
+    The input, often a model run, is read once: distinct (a, b) pairs with their counts
+    are written to the shared work folder and everything else starts from that table.
+    Ranks deviate from their mean (n + 1) / 2 and values from theirs before they are
+    multiplied, so nothing cancels at large n.
     """
-    by = list(by)
-    pairs = written(valid_pairs(df, a, b).groupBy(*by, a, b).agg(F.count(F.lit(1)).alias("_w")), "pairs")
-    rank_a = avg_rank(pairs, a, by, "_w").select(*by, a, F.col("n").alias("_na"), F.col("rank").alias("_ra"))
-    rank_b = avg_rank(pairs, b, by, "_w").select(*by, b, F.col("n").alias("_nb"), F.col("rank").alias("_rb"))
-    ranked = attach(attach(pairs, rank_a, [*by, a], size="_na"), rank_b, [*by, b], size="_nb")
-    w, x, y = F.col("_w"), F.col("_ra"), F.col("_rb")
-    sizes = pairs.groupBy(*by).agg(F.sum("_w").alias("_size"), ((F.sum("_w") + 1) / 2).alias("_mid"))
-    if by:
-        ranked = attach(ranked, sizes, by, size="_size")
-        mid = F.col("_mid")
-    else:
-        mid = sizes.select("_mid").scalar()
-    x, y = x - mid, y - mid
-    sums = ranked.groupBy(*by).agg(
-        F.sum(w * x * y).alias("_xy"), F.sum(w * x * x).alias("_xx"), F.sum(w * y * y).alias("_yy")
+    group = by or ["_all"]
+    valid = valid_pairs(df, a, b)
+    keyed = valid if by else valid.withColumn("_all", F.lit(0))
+    pairs = written(keyed.groupBy(*group, a, b).agg(F.count(F.lit(1)).alias("_w")), "pairs")
+    rank_a = avg_rank(pairs, a, group, "_w").select(*group, a, F.col("n").alias("_na"), F.col("rank").alias("_ra"))
+    rank_b = avg_rank(pairs, b, group, "_w").select(*group, b, F.col("n").alias("_nb"), F.col("rank").alias("_rb"))
+    ranked = attach(attach(pairs, rank_a, [*group, a], size="_na"), rank_b, [*group, b], size="_nb")
+
+    w, x, y = F.col("_w"), F.col(a).cast("double"), F.col(b).cast("double")
+    centres = pairs.groupBy(*group).agg(
+        F.sum(w).alias("_size"), ((F.sum(w) + 1) / 2).alias("_mid"),
+        (F.sum(w * x) / F.sum(w)).alias("_ma"), (F.sum(w * y) / F.sum(w)).alias("_mb"),
     )
-    return sums.select(
-        *by, F.try_divide(F.col("_xy"), F.sqrt("_xx") * F.sqrt("_yy")).alias(out)
+    centred = attach(ranked, centres, group, size="_size")
+    dx, dy = x - F.col("_ma"), y - F.col("_mb")
+    rx, ry = F.col("_ra") - F.col("_mid"), F.col("_rb") - F.col("_mid")
+    return centred.groupBy(*by).agg(
+        F.coalesce(F.sum(w), F.lit(0)).alias("n"),
+        ((F.min(x) < F.max(x)) & (F.min(y) < F.max(y))).alias("_varies"),
+        F.sum(w * (x - y) * (x - y)).alias("_square"), F.sum(w * F.abs(x - y)).alias("_absolute"),
+        F.sum(w * dx * dy).alias("_xy"), F.sum(w * dx * dx).alias("_xx"), F.sum(w * dy * dy).alias("_yy"),
+        F.sum(w * rx * ry).alias("_rxy"), F.sum(w * rx * rx).alias("_rxx"), F.sum(w * ry * ry).alias("_ryy"),
     )
 
 
+def _correlation(xy: str, xx: str, yy: str):
+    """Null unless both sides vary; a rounded mean would leave a trace of variance."""
+    return F.when(F.col("_varies"), F.try_divide(F.col(xy), F.sqrt(xx) * F.sqrt(yy)))
+
+
+def spearman(df: DataFrame, a: str, b: str, by: list[str] = (), out: str = "spearman") -> DataFrame:
+    """Pearson correlation of average ranks; null for constant input or one row."""
+    by = list(by)
+    return _pair_sums(df, a, b, by).select(*by, _correlation("_rxy", "_rxx", "_ryy").alias(out))
+
+
 def evaluate_pairs(df: DataFrame, pred: str, true: str, by: list[str] = ()) -> DataFrame:
     """n, MSE, MAE, Pearson and Spearman, in total or per group, over valid rows."""
     by = list(by)
-    valid = valid_pairs(df, pred, true)
-    p, t = F.col(pred), F.col(true)
-    direct = valid.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), mse(p, t).alias("mse"), mae(p, t).alias("mae"),
-        pearson(p, t).alias("pearson"),
-    )
-    ranks = spearman(valid, pred, true, by)
-    both = direct.unionByName(ranks, allowMissingColumns=True)
-    return both.groupBy(*by).agg(
-        *[F.max(c).alias(c) for c in ("n", "mse", "mae", "pearson", "spearman")]
+    return _pair_sums(df, pred, true, by).select(
+        *by, "n",
+        F.try_divide(F.col("_square"), F.col("n")).alias("mse"),
+        F.try_divide(F.col("_absolute"), F.col("n")).alias("mae"),
+        _correlation("_xy", "_xx", "_yy").alias("pearson"),
+        _correlation("_rxy", "_rxx", "_ryy").alias("spearman"),
     )
 
 
@@ -96,6 +108,4 @@ def mean_pool(df: DataFrame, id_: str, vec: str, out: str = "pooled") -> DataFra
 
 def pair_similarity(df: DataFrame, a: str, b: str, out: str = "predicted_score") -> DataFrame:
     """Cosine of two embedding columns as the predicted score."""
-    from dossier.functions.metrics import cosine
-
     return df.withColumn(out, cosine(F.col(a), F.col(b)))

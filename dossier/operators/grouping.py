@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.functions.layout import IGNORED, SEQUENCE_LENGTH, attention_mask, norm_box, pack
-from dossier.operators.skew import attach, position_in_group
+from dossier.operators.skew import position_in_group
 
 
 def group_tokens(
@@ -50,8 +50,12 @@ def encode_pages(
 
 
 def join_page_dims(tokens: DataFrame, dims: DataFrame, on: str = "page_key") -> DataFrame:
-    """Page width and height for each token; tokens of pages without an image drop out."""
-    return attach(tokens, dims, [on])
+    """Page width and height for each token; tokens of pages without an image drop out.
+
+    Both sides are plain tables: Spark broadcasts the sizes if they are small, else the
+    adaptive join splits the tokens of a hot page.
+    """
+    return tokens.join(dims, on)
 
 
 def normalize_boxes(df: DataFrame, box: str, width: str, height: str, out: str = "norm_box") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from dossier.operators.evaluation import evaluate_pairs
 from dossier.operators.logs import best_epoch
 from dossier.operators.skew import neighbours
+from dossier.session import written
 
 PAIR_FEATURES = ("binary_cosine", "coverage_a", "coverage_b", "length_ratio")
 PENALTIES = (0.0, 0.01, 0.1)
@@ -46,17 +47,25 @@ def pair_features(df: DataFrame, a: str = "text_a", b: str = "text_b") -> DataFr
     return VectorAssembler(inputCols=list(PAIR_FEATURES), outputCol="features").transform(numbers)
 
 
+def _described(df: DataFrame) -> DataFrame:
+    return df if "features" in df.columns else pair_features(df)
+
+
 def fit_pair_scorer(train: DataFrame, label: str = "label", penalty: float = 0.0) -> Model:
-    """Linear regression of relevance on word overlap, one pass over the data."""
+    """Linear regression of relevance on word overlap, one pass over the data.
+
+    Takes text pairs, or rows that ``pair_features`` has described and that are better
+    written to a table when several models are fitted.
+    """
     estimator = LinearRegression(
         featuresCol="features", labelCol=label, predictionCol="_raw", regParam=penalty, solver="normal"
     )
-    return estimator.fit(pair_features(train))
+    return estimator.fit(_described(train))
 
 
 def score_pairs(model: Model, df: DataFrame, out: str = "predicted_score") -> DataFrame:
     """Predicted relevance, held inside [0, 1]."""
-    scored = model.transform(pair_features(df))
+    scored = model.transform(_described(df))
     held = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_raw")))
     return scored.withColumn(out, held).drop("features", "_raw", *PAIR_FEATURES)
 
@@ -66,17 +75,19 @@ def select_model(
 ) -> tuple[Model, DataFrame]:
     """Fit one scorer per penalty, keep the best on validation.
 
-    Returns the model and the log of metrics. Only the fixed number of penalties is
-    looped over on the driver.
+    Returns the model and the log of metrics, one row per penalty. All scorers are
+    evaluated in one pass over the validation rows.
     """
-    models, log = [], None
-    for i, penalty in enumerate(penalties):
-        models.append(fit_pair_scorer(train, label, penalty))
-        row = evaluate_pairs(score_pairs(models[-1], validation), "predicted_score", label)
-        row = row.withColumn("epoch", F.lit(i)).withColumn("penalty", F.lit(float(penalty)))
-        log = row if log is None else log.unionByName(row)
+    fitted = [fit_pair_scorer(train, label, penalty) for penalty in penalties]
+    scored = None
+    for i, (model, penalty) in enumerate(zip(fitted, penalties)):
+        rows = score_pairs(model, validation).select(
+            F.lit(i).alias("epoch"), F.lit(float(penalty)).alias("penalty"), label, "predicted_score"
+        )
+        scored = rows if scored is None else scored.unionByName(rows)
+    log = written(evaluate_pairs(scored, "predicted_score", label, ["epoch", "penalty"]), "model-log")
     best = best_epoch(log, metric).head()
-    return models[best["epoch"] if best else 0], log
+    return fitted[best["epoch"] if best else 0], log
 
 
 def token_features(

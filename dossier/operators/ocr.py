@@ -10,15 +10,15 @@ from dossier.functions.text import first_int, pct, py_strip, py_words
 from dossier.operators.skew import attach
 
 # Texts up to this length are compared by the built-in function, longer ones bit-parallel.
-SHORT_TEXT = 512
+SHORT_TEXT = 128
 
 
 def edit_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance in characters, exact for whole texts of any length.
 
-    The built-in needs one step per pair of characters: a billion for two texts of
-    33,000. The long-text branch handles a full row of the table per step with
-    whole-number bit operations (Myers 1999, in the form of Hyyrö 2003).
+    The built-in takes one step per pair of characters: a billion for two texts of
+    33,000. Longer texts keep a whole column of the table in one number and take one
+    step per character (Myers 1999, in the form of Hyyrö 2003).
     """
 
     @F.pandas_udf("long")
@@ -32,17 +32,21 @@ def edit_distance(a: Column, b: Column) -> Column:
                 x, y = y, x
             if not y:
                 return len(x)
-            places = {}
+            masks = {ch: bytearray(len(y) // 8 + 1) for ch in set(y)}
             for i, ch in enumerate(y):
-                places[ch] = places.get(ch, 0) | (1 << i)
-            ones, top = (1 << len(y)) - 1, len(y) - 1
+                masks[ch][i >> 3] |= 1 << (i & 7)
+            places = {ch: int.from_bytes(mask, "little") for ch, mask in masks.items()}
+            ones, last = (1 << len(y)) - 1, 1 << (len(y) - 1)
             up, down, total = ones, 0, len(y)
             for ch in x:
                 hit = places.get(ch, 0)
                 diagonal = (((hit & up) + up) ^ up) | hit | down
-                rise = down | ~(diagonal | up)
+                rise = down | (ones & ~(diagonal | up))
                 fall = up & diagonal
-                total += ((rise >> top) & 1) - ((fall >> top) & 1)
+                if rise & last:
+                    total += 1
+                elif fall & last:
+                    total -= 1
                 rise = (rise << 1) | 1
                 up = ((fall << 1) | ~(diagonal | rise)) & ones
                 down = rise & diagonal & ones
@@ -76,10 +80,12 @@ def keep_with_id(files: DataFrame, truth: DataFrame, name: str = "file", id_: st
 def join_truth(files: DataFrame, truth: DataFrame, name: str = "file", id_: str = "id") -> DataFrame:
     """Truth text for each file, by the first digit run of its name as text.
 
-    Do this before recognition: a file without truth then never reaches the model.
+    Do this before recognition: a file without truth then never reaches the model. The
+    list is small but all that follows it is heavy, so it is spread evenly first.
     """
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = files.withColumn(id_, first_int(F.col(name))).filter(F.col(id_) != "")
-    return attach(keyed, truth, [id_])
+    return attach(keyed.repartition(tasks, name), truth, [id_])
 
 
 def assemble_text(files: DataFrame, lines: DataFrame, file: str = "file") -> DataFrame:

@@ -57,7 +57,8 @@ def top_k_scaled(
 
 
 def attach_jobs(ranked: DataFrame, jobs: DataFrame, on: str = "job_title") -> DataFrame:
-    """Job description for each ranked row; the ranked side has at most k rows per job."""
+    """Job description for each row. Ranked rows are at most k per job; for unranked ones
+    the adaptive join splits a hot job."""
     return ranked.join(jobs, on)
 
 

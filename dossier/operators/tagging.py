@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.skew import BLOCK, neighbours
+from dossier.operators.skew import BLOCK
 
 # How a label without prefix is read by its first letter when scoring
 # entities. O is outside; B, S and E open a new entity at every token.
@@ -23,31 +23,45 @@ def _starts(label: Column, before: Column, mode: str) -> Column:
 
 
 def label_chunks(
-    df: DataFrame, seq: str, pos: str, label: str, mode: str = "compat", block: int = BLOCK
+    df: DataFrame, seq: str | list[str], pos: str, label: str, mode: str = "compat", block: int = BLOCK
 ) -> DataFrame:
     """Entities of each sequence: ``seq``, ``type``, ``start``, ``end`` (values of ``pos``).
 
     ``compat`` reads labels by their first letter (see above), ``runs`` takes every
-    maximal run of equal labels. A token belongs to the last start at or before it:
-    found inside its block, else carried over from earlier blocks.
+    maximal run of equal labels. A token belongs to the last opening at or before it.
+    Openings are found per block of positions, which is the only shuffle of the tokens;
+    one edge row per block tells whether its first token continues an entity and which
+    opening is still in force there.
     """
-    tokens = neighbours(df.select(seq, pos, label), [seq], pos, [label], block)
-    tokens = tokens.withColumn("_opens", _starts(F.col(label), F.col(f"previous.{label}"), mode))
-    if mode == "compat":
-        tokens = tokens.filter(~F.startswith(F.col(label), F.lit(OUTSIDE)))
-    tokens = tokens.select(
-        seq, pos, label, F.floor(F.col(pos) / block).alias("_block"),
-        F.when(F.col("_opens"), F.col(pos)).alias("_open_at"),
+    seq = [seq] if isinstance(seq, str) else list(seq)
+    inside = Window.partitionBy(*seq, "_block").orderBy(pos)
+    tokens = (
+        df.select(*seq, pos, label)
+        .withColumn("_block", F.floor(F.col(pos) / block))
+        .withColumn("_before", F.lag(F.struct(label)).over(inside))
+    )
+    opens = F.col("_before").isNotNull() & _starts(F.col(label), F.col(f"_before.{label}"), mode)
+    tokens = tokens.withColumn("_opened", F.max(F.when(opens, F.col(pos))).over(
+        inside.rowsBetween(Window.unboundedPreceding, 0)
+    ))
+
+    edges = tokens.groupBy(*seq, "_block").agg(
+        F.min(pos).alias("_at"), F.min_by(label, pos).alias("_first"), F.max_by(label, pos).alias("_last"),
+        F.max("_opened").alias("_opened"),
     )
-    last = tokens.groupBy(seq, "_block").agg(F.max("_open_at").alias("_last"))
-    earlier = Window.partitionBy(seq).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(seq, "_block", F.max("_last").over(earlier).alias("_carried"))
-    upto = Window.partitionBy(seq, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    placed = tokens.withColumn("_inside", F.max("_open_at").over(upto)).join(carried, [seq, "_block"])
-    start = F.coalesce("_inside", "_carried").alias("start")
+    across = Window.partitionBy(*seq).orderBy("_block")
+    first = _starts(F.col("_first"), F.lag("_last").over(across), mode)
+    edges = edges.withColumn("_entry", F.when(first, F.col("_at")))
+    carried = F.max(F.coalesce("_opened", "_entry")).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    edges = edges.select(*seq, "_block", F.coalesce("_entry", carried).alias("_entry"))
+
+    placed = tokens.join(edges, [*seq, "_block"])
+    if mode == "compat":
+        placed = placed.filter(~F.startswith(F.col(label), F.lit(OUTSIDE)))
+    start = F.coalesce("_opened", "_entry").alias("start")
     return (
-        placed.select(seq, F.col(label).alias("type"), start, pos)
-        .groupBy(seq, "type", "start").agg(F.max(pos).alias("end"))
+        placed.select(*seq, F.col(label).alias("type"), start, pos)
+        .groupBy(*seq, "type", "start").agg(F.max(pos).alias("end"))
     )
 
 
@@ -65,15 +79,17 @@ def entity_prf(
 ) -> DataFrame:
     """Micro precision, recall and F1 over entities, with their counts. Zero if undefined.
 
-    Gold and predicted entities meet in one aggregation by sequence, type, start and end.
+    Both label columns are stacked and cut in one go; gold and predicted entities then
+    meet in one aggregation by sequence, type, start and end.
     """
-    sides = [
-        label_chunks(df, seq, pos, column, mode, block).withColumn("_gold", F.lit(g)).withColumn("_pred", F.lit(1 - g))
-        for column, g in ((gold, 1), (pred, 0))
-    ]
-    merged = sides[0].unionByName(sides[1]).groupBy(seq, "type", "start", "end").agg(
-        F.sum("_gold").alias("_gold"), F.sum("_pred").alias("_pred")
-    )
+    sides = F.explode(F.array(
+        F.struct(F.lit(1).alias("_gold"), F.col(gold).alias("_label")),
+        F.struct(F.lit(0).alias("_gold"), F.col(pred).alias("_label")),
+    ))
+    stacked = df.select(seq, pos, sides.alias("_side")).select(seq, pos, "_side.*")
+    merged = label_chunks(stacked, [seq, "_gold"], pos, "_label", mode, block).groupBy(
+        seq, "type", "start", "end"
+    ).agg(F.sum("_gold").alias("_gold"), F.sum(1 - F.col("_gold")).alias("_pred"))
     counts = merged.agg(
         F.coalesce(F.sum("_gold"), F.lit(0)).alias("n_gold"),
         F.coalesce(F.sum("_pred"), F.lit(0)).alias("n_pred"),

@@ -193,8 +193,11 @@ _TEXTS = """texts AS (
   FROM documents d JOIN benchmark b ON source = 'src' || item_id)"""
 
 
+_SECTIONS = r"(?s)\A" + text.RECORD_START + "".join(f"(.*?){header}" for header in text.SECTION_STARTS) + r"(.*)\z"
+
+
 def _section(i: int) -> str:
-    return f"CASE WHEN regexp_matches(input, {_text(text.SECTION_PATTERN)}) THEN regexp_extract(input, {_text(text.SECTION_PATTERN)}, {i}) END"
+    return f"CASE WHEN regexp_matches(input, {_text(_SECTIONS)}) THEN regexp_extract(input, {_text(_SECTIONS)}, {i}) END"
 
 
 def _scrubbed() -> str:

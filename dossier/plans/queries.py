@@ -25,7 +25,7 @@ from dossier.operators import (
     skew,
     tagging,
 )
-from dossier.session import work_dir
+from dossier.session import work_dir, written
 from dossier.streaming.incremental import incremental_files
 
 # Field labels that stand behind the event types, one of each scoring kind.
@@ -449,7 +449,7 @@ def _instruction_texts(spark, sf_dir) -> DataFrame:
         F.lit("\n\nLanguages: "), F.col("lang"),
     )
     target = F.concat(F.lit("匹配度：0."), F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0"), F.lit("\n理由：ok "), F.col("lang"))
-    return skew.attach(docs, _jobs(spark, sf_dir), ["job_title"]).select(
+    return ranking.attach_jobs(docs, _jobs(spark, sf_dir)).select(
         "doc_id", record.alias("input"), target.alias("output")
     )
 
@@ -514,11 +514,12 @@ def _pairs(spark, sf_dir) -> DataFrame:
         "doc_id", F.col("source").alias("job_title"), F.col("text").alias("text_a"),
         (F.col("quality") * 0.7 + (1 - F.col("toxic")) * 0.3).alias("label"),
     )
-    return skew.attach(docs, _jobs(spark, sf_dir), ["job_title"]).withColumnRenamed("job_text", "text_b")
+    return ranking.attach_jobs(docs, _jobs(spark, sf_dir)).withColumnRenamed("job_text", "text_b")
 
 
 def pair_model(spark, sf_dir):
-    train, validation = sampling.split_exact(_pairs(spark, sf_dir), "doc_id")
+    described = written(models.pair_features(_pairs(spark, sf_dir)).drop("text_a", "text_b"), "pairs")
+    train, validation = sampling.split_exact(described, "doc_id")
     _, log = models.select_model(train, validation)
     return log
 
@@ -528,7 +529,7 @@ def field_tagger(spark, sf_dir):
         "page_key", "pos", F.concat_ws("-", "event_type", F.col("k").cast("string")).alias("text"),
         F.array(F.col("k"), F.col("value").cast("int"), F.col("k") + 10, F.lit(900)).alias("box"), "gold",
     )
-    described = models.token_features(tokens, "page_key", "pos", box="box")
+    described = written(models.token_features(tokens, "page_key", "pos", box="box"), "tokens")
     train, validation = sampling.split_exact(described, "pos")
     model = models.fit_field_tagger(train, layout.LABELS_EN, "gold", iterations=5)
     tagged = models.tag_fields(model, validation)
