@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dossier.operators.skew import attach
+
 # Fields left out of cleaned results.
 DROPPED_FIELDS = ("true_score", "reference_output", "reason_only")
 
@@ -29,12 +31,9 @@ def source_counts(df: DataFrame, source: str = "source") -> DataFrame:
 
 
 def pending_files(src: DataFrame, done: DataFrame, on: str = "out_path") -> DataFrame:
-    """Source rows whose output does not exist yet.
-
-    ``done`` may list outputs several times; only distinct names are matched. A hot
-    name on the source side is split by the adaptive skew join.
-    """
-    return src.join(done.select(on).distinct(), on, "left_anti")
+    """Source rows whose output does not exist yet (an anti join that withstands hot names)."""
+    outputs = done.select(on).distinct().withColumn("_done", F.lit(True))
+    return attach(src, outputs, [on], "left").filter(F.col("_done").isNull()).drop("_done")
 
 
 def report_order(df: DataFrame, id_: str = "id") -> DataFrame:

@@ -74,7 +74,7 @@ def wer_compat(hyp: Column, ref: Column) -> Column:
 def keep_with_id(files: DataFrame, truth: DataFrame, name: str = "file", id_: str = "id") -> DataFrame:
     """Files whose name holds a digit run that is a truth id."""
     keyed = files.withColumn(id_, first_int(F.col(name))).filter(F.col(id_) != "")
-    return keyed.join(truth.select(id_), id_, "left_semi")
+    return attach(keyed, truth.select(id_).distinct(), [id_])
 
 
 def join_truth(files: DataFrame, truth: DataFrame, name: str = "file", id_: str = "id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.skew import attach, bucket_of, running_before, split_points
+from dossier.operators.skew import attach, bucketed, running_before, split_points
 
 TOP_K = 5
 
@@ -76,10 +76,7 @@ def avg_rank(
     known = df.filter(F.col(value).isNotNull())
     points = split_points(known, value, parts)
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = (
-        known.groupBy(*by, value).agg(amount.alias("n"))
-        .withColumn("_bucket", bucket_of(F.col(value).cast("double"), points))
-    )
+    histogram = bucketed(known.groupBy(*by, value).agg(amount.alias("n")), value, points)
     counts = histogram.groupBy(*by, "_bucket").agg(F.sum("n").alias("_n"))
     starts = running_before(counts, "_bucket", "_n", "_start", by).drop("_n")
     below = F.sum("n").over(

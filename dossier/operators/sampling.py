@@ -39,7 +39,8 @@ def _flag_first(df: DataFrame, key: str, seed: int, size, out: str) -> DataFrame
     """Mark the first ``size(total)`` rows in digest order.
 
     Whole buckets are decided by their counts. Only the rows of the one bucket that
-    the cut falls into are ranked, so nothing else is shuffled.
+    the cut falls into are ranked, so nothing else is shuffled. ``df`` is read three
+    times instead; write it to a table first if it is costly to compute.
     """
     hashed = _hashed(df, key, seed)
     take = F.least(F.greatest(size(F.col("_total")) - F.col("_start"), F.lit(0)), F.col("_n"))

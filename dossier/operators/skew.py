@@ -7,17 +7,18 @@ Three ideas are shared by the other operators:
 * blocks: an integer position is cut into ranges of ``BLOCK`` values. Work inside a
   group runs per (group, block); only one row per block crosses the whole group.
 * buckets: a global order is cut into a fixed number of ranges. Only the bucket
-  counts are ordered in one place, at most ``parts`` or ``HASH_BUCKETS`` rows.
+  counts are ordered in one place, which are few.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_KEYS = 256
 BLOCK = 65536
-HASH_BUCKETS = 65536
+MAX_BUCKETS = 10000
 
 
 def attach(
@@ -68,23 +69,21 @@ def _has_map(df: DataFrame, column: str) -> bool:
 def split_points(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
     """About ``parts`` - 1 quantiles of a numeric column, found in one pass.
 
-    Only these few numbers reach the driver. They become literals of the plan, so
+    Only these few numbers reach the driver. They are fixed values of the plan, so
     every branch and every retry sees the same bucket borders.
     """
     if parts is None:
-        parts = min(1024, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        parts = min(MAX_BUCKETS, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [i / parts for i in range(1, parts)]
     return sorted(set(df.approxQuantile(column, shares, 1 / (4 * parts))))
 
 
-def bucket_of(value: Column, points: list[float], first: int = 0) -> Column:
-    """Number of the range that holds ``value``, as a balanced chain of comparisons."""
+def bucketed(df: DataFrame, column: str, points: list[float], out: str = "_bucket") -> DataFrame:
+    """Number of the range between ``points`` that holds the value; not-a-number comes last."""
     if not points:
-        return F.lit(first)
-    mid = len(points) // 2
-    low = bucket_of(value, points[:mid], first)
-    high = bucket_of(value, points[mid + 1:], first + mid + 1)
-    return F.when(value < points[mid], low).otherwise(high)
+        return df.withColumn(out, F.lit(0.0))
+    splits = [float("-inf"), *points, float("inf")]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
 
 
 def running_before(counts: DataFrame, order: str, amount: str, out: str, by: list[str] = ()) -> DataFrame:
@@ -100,12 +99,12 @@ def with_index(df: DataFrame, key: str, out: str = "id", parts: int | None = Non
     give the start of each.
     """
     points = split_points(df, key, parts)
-    bucketed = df.withColumn("_bucket", bucket_of(F.col(key).cast("double"), points))
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    cut = bucketed(df, key, points)
+    counts = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     starts = running_before(counts, "_bucket", "_n", "_start").select("_bucket", "_start")
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     return (
-        bucketed.withColumn("_inside", inside)
+        cut.withColumn("_inside", inside)
         .join(F.broadcast(starts), "_bucket")
         .withColumn(out, F.col("_start") + F.col("_inside") - 1)
         .select(*df.columns, out)

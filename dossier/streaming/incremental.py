@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A first run over a large backlog commits in steps of this many files.
+FILES_PER_BATCH = 10000
+
 
 def incremental_files(
     spark: SparkSession,
@@ -24,7 +27,8 @@ def incremental_files(
     a run that is lost half-way can be started again. ``checkpoint`` and ``out`` belong
     in the folder all executors share.
     """
-    new = spark.readStream.format(fmt).schema(schema).options(**(options or {})).load(src)
+    settings = {"maxFilesPerTrigger": str(FILES_PER_BATCH), **(options or {})}
+    new = spark.readStream.format(fmt).schema(schema).options(**settings).load(src)
     done = fn(new)
     query = (
         done.writeStream.format("parquet").outputMode("append")

@@ -64,10 +64,11 @@ def test_position_and_neighbours(spark, block):
             assert (after.v if after else None) == (own[i + 1][1] if i + 1 < len(own) else None)
 
 
-def test_bucket_of(spark):
+def test_bucketed(spark):
     df = spark.createDataFrame([(float(i),) for i in range(10)], "x double")
-    got = [r.b for r in df.select(skew.bucket_of(F.col("x"), [2.0, 5.0, 5.5]).alias("b")).collect()]
+    got = [int(r.b) for r in skew.bucketed(df, "x", [2.0, 5.0, 5.5], "b").collect()]
     assert got == [0, 0, 1, 1, 1, 2, 3, 3, 3, 3]
+    assert skew.bucketed(df, "x", [], "b").count() == 10
 
 
 # --- ranking ----------------------------------------------------------------------
@@ -232,7 +233,6 @@ def test_splits(spark, n):
 
 def test_one_bucket_split(spark, monkeypatch):
     """Also right when the cut falls into a bucket with many rows."""
-    from pyspark.sql import Column  # noqa: F401
     full = sampling._hashed
     monkeypatch.setattr(sampling, "_hashed", lambda df, key, *salt: full(df, key, *salt).withColumn("_bucket", F.col("_bucket") % 2))
     train, val = sampling.split_exact(spark.range(60).select(F.col("id").alias("key")), "key", 0.3)
