@@ -22,18 +22,13 @@ def _starts(label: Column, before: Column, mode: str) -> Column:
     raise ValueError(f"mode must be compat or runs, not {mode}")
 
 
-def label_chunks(
-    df: DataFrame, seq: str | list[str], pos: str, label: str, mode: str = "compat", block: int = BLOCK
-) -> DataFrame:
-    """Entities of each sequence: ``seq``, ``type``, ``start``, ``end`` (values of ``pos``).
+def _placed(df: DataFrame, seq: list[str], pos: str, label: str, mode: str, block: int) -> DataFrame:
+    """Every token of an entity with the entity's ``type`` and ``start``.
 
-    ``compat`` reads labels by their first letter (see above), ``runs`` takes every
-    maximal run of equal labels. A token belongs to the last opening at or before it.
-    Openings are found per block of positions, which is the only shuffle of the tokens;
-    one edge row per block tells whether its first token continues an entity and which
-    opening is still in force there.
+    A token belongs to the last opening at or before it. Openings are found per block of
+    positions, which is the only shuffle of the tokens; one edge row per block tells
+    whether its first token continues an entity and which opening is in force there.
     """
-    seq = [seq] if isinstance(seq, str) else list(seq)
     inside = Window.partitionBy(*seq, "_block").orderBy(pos)
     tokens = (
         df.select(*seq, pos, label)
@@ -58,11 +53,19 @@ def label_chunks(
     placed = tokens.join(edges, [*seq, "_block"])
     if mode == "compat":
         placed = placed.filter(~F.startswith(F.col(label), F.lit(OUTSIDE)))
-    start = F.coalesce("_opened", "_entry").alias("start")
-    return (
-        placed.select(*seq, F.col(label).alias("type"), start, pos)
-        .groupBy(*seq, "type", "start").agg(F.max(pos).alias("end"))
-    )
+    return placed.select(*seq, F.col(label).alias("type"), F.coalesce("_opened", "_entry").alias("start"), pos)
+
+
+def label_chunks(
+    df: DataFrame, seq: str, pos: str, label: str, mode: str = "compat", block: int = BLOCK
+) -> DataFrame:
+    """Entities of each sequence: ``seq``, ``type``, ``start``, ``end`` (values of ``pos``).
+
+    ``compat`` reads labels by their first letter (see above), ``runs`` takes every
+    maximal run of equal labels.
+    """
+    tokens = _placed(df, [seq], pos, label, mode, block)
+    return tokens.groupBy(seq, "type", "start").agg(F.max(pos).alias("end"))
 
 
 def match_chunks(gold: DataFrame, pred: DataFrame, seq: str) -> DataFrame:
@@ -79,21 +82,21 @@ def entity_prf(
 ) -> DataFrame:
     """Micro precision, recall and F1 over entities, with their counts. Zero if undefined.
 
-    Both label columns are stacked and cut in one go; gold and predicted entities then
-    meet in one aggregation by sequence, type, start and end.
+    Both label columns are stacked and placed in one go. Gold and predicted entities with
+    the same type and start share a row of one aggregation and match if they end alike.
     """
     sides = F.explode(F.array(
-        F.struct(F.lit(1).alias("_gold"), F.col(gold).alias("_label")),
-        F.struct(F.lit(0).alias("_gold"), F.col(pred).alias("_label")),
+        F.struct(F.lit(True).alias("_gold"), F.col(gold).alias("_label")),
+        F.struct(F.lit(False).alias("_gold"), F.col(pred).alias("_label")),
     ))
     stacked = df.select(seq, pos, sides.alias("_side")).select(seq, pos, "_side.*")
-    merged = label_chunks(stacked, [seq, "_gold"], pos, "_label", mode, block).groupBy(
-        seq, "type", "start", "end"
-    ).agg(F.sum("_gold").alias("_gold"), F.sum(1 - F.col("_gold")).alias("_pred"))
-    counts = merged.agg(
-        F.coalesce(F.sum("_gold"), F.lit(0)).alias("n_gold"),
-        F.coalesce(F.sum("_pred"), F.lit(0)).alias("n_pred"),
-        F.coalesce(F.sum(F.col("_gold") * F.col("_pred")), F.lit(0)).alias("n_match"),
+    ends = _placed(stacked, [seq, "_gold"], pos, "_label", mode, block).groupBy(seq, "type", "start").agg(
+        F.max(F.when(F.col("_gold"), F.col(pos))).alias("_gold_end"),
+        F.max(F.when(~F.col("_gold"), F.col(pos))).alias("_pred_end"),
+    )
+    counts = ends.agg(
+        F.count("_gold_end").alias("n_gold"), F.count("_pred_end").alias("n_pred"),
+        F.count_if(F.col("_gold_end") == F.col("_pred_end")).alias("n_match"),
     )
     precision = _share(F.col("n_match"), F.col("n_pred"))
     recall = _share(F.col("n_match"), F.col("n_gold"))
