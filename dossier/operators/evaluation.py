@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dossier.functions.metrics import cosine, mse
 from dossier.operators.ranking import avg_rank
-from dossier.operators.skew import attach
+from dossier.operators.skew import attach, known
 from dossier.session import written
 
 
@@ -41,7 +41,7 @@ def _pair_sums(df: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:
     """
     group = by or ["_all"]
     valid = valid_pairs(df, a, b)
-    keyed = valid if by else valid.withColumn("_all", F.lit(0))
+    keyed = known(valid, by) if by else valid.withColumn("_all", F.lit(0))
     pairs = written(keyed.groupBy(*group, a, b).agg(F.count(F.lit(1)).alias("_w")), "pairs")
     rank_a = avg_rank(pairs, a, group, "_w").select(*group, a, F.col("n").alias("_na"), F.col("rank").alias("_ra"))
     rank_b = avg_rank(pairs, b, group, "_w").select(*group, b, F.col("n").alias("_nb"), F.col("rank").alias("_rb"))
@@ -76,7 +76,7 @@ def spearman(df: DataFrame, a: str, b: str, by: list[str] = (), out: str = "spea
 
 
 def evaluate_pairs(df: DataFrame, pred: str, true: str, by: list[str] = ()) -> DataFrame:
-    """n, MSE, MAE, Pearson and Spearman, in total or per group, over valid rows."""
+    """n, MSE, MAE, Pearson and Spearman over valid rows, in total or per (known) group."""
     by = list(by)
     return _pair_sums(df, pred, true, by).select(
         *by, "n",

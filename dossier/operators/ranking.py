@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.skew import attach, bucketed, running_before, split_points
+from dossier.operators.skew import attach, bucketed, known, running_before, split_points
 
 TOP_K = 5
 
@@ -70,13 +70,13 @@ def avg_rank(
     Equal values are merged first, so a hot value is one row. Distinct values are
     then numbered per range of values, and the ranges are joined by their counts.
     ``weight`` says how many records a row stands for (1 if not given).
-    Returns ``by``, ``value``, ``n``, ``rank``. Nulls are left out.
+    Returns ``by``, ``value``, ``n``, ``rank``. Rows without group or value are left out.
     """
     by = list(by)
-    known = df.filter(F.col(value).isNotNull())
-    points = split_points(known, value, parts)
+    rows = known(df, [*by, value])
+    points = split_points(rows, value, parts)
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = bucketed(known.groupBy(*by, value).agg(amount.alias("n")), value, points)
+    histogram = bucketed(rows.groupBy(*by, value).agg(amount.alias("n")), value, points)
     counts = histogram.groupBy(*by, "_bucket").agg(F.sum("n").alias("_n"))
     starts = running_before(counts, "_bucket", "_n", "_start", by).drop("_n")
     below = F.sum("n").over(

@@ -42,7 +42,7 @@ def attach(
     if size:
         hot_dim = dim.orderBy(F.desc(size), *keys).limit(HOT_KEYS)
     else:
-        counts = facts.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        counts = known(facts, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
         hot = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*on)
         hot_dim = dim.join(F.broadcast(hot), on, "left_semi")
 
@@ -86,6 +86,23 @@ def bucketed(df: DataFrame, column: str, points: list[float], out: str = "_bucke
     return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def known(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without nulls in the columns, as plain conditions that reach the scan."""
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
+
+
+def in_blocks(df: DataFrame, group: list[str], pos: str, block: int) -> DataFrame:
+    """Add ``_block``, the first position of the row's block.
+
+    Rows without group or position belong nowhere. Dropping them here, and not by the
+    joins that follow, keeps the branches of a plan alike, so they share one shuffle.
+    """
+    placed = known(df, [*group, pos])
+    return known(placed.withColumn("_block", F.col(pos) - F.pmod(F.col(pos), F.lit(block))), ["_block"])
+
+
 def running_before(counts: DataFrame, order: str, amount: str, out: str, by: list[str] = ()) -> DataFrame:
     """Sum of ``amount`` over earlier rows. Meant for block or bucket counts, which are few."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -118,7 +135,7 @@ def position_in_group(
 
     A (group, block) pair holds at most ``block`` rows, however large the group.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(pos) / block))
+    blocked = in_blocks(df, group, pos, block)
     counts = blocked.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_n"))
     starts = running_before(counts, "_block", "_n", "_start", group).select(*group, "_block", "_start")
     inside = F.row_number().over(Window.partitionBy(*group, "_block").orderBy(pos))
@@ -139,7 +156,7 @@ def neighbours(
     rows of the adjoining blocks are taken from one edge row per block.
     """
     values = F.struct(*columns)
-    blocked = df.withColumn("_block", F.floor(F.col(pos) / block)).withColumn("_values", values)
+    blocked = in_blocks(df, group, pos, block).withColumn("_values", values)
     edges = blocked.groupBy(*group, "_block").agg(
         F.min_by("_values", pos).alias("_first"), F.max_by("_values", pos).alias("_last")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.operators.skew import BLOCK
+from dossier.operators.skew import BLOCK, in_blocks, known
 
 # How a label without prefix is read by its first letter when scoring
 # entities. O is outside; B, S and E open a new entity at every token.
@@ -31,8 +31,7 @@ def _placed(df: DataFrame, seq: list[str], pos: str, label: str, mode: str, bloc
     """
     inside = Window.partitionBy(*seq, "_block").orderBy(pos)
     tokens = (
-        df.select(*seq, pos, label)
-        .withColumn("_block", F.floor(F.col(pos) / block))
+        in_blocks(known(df.select(*seq, pos, label), [label]), seq, pos, block)
         .withColumn("_before", F.lag(F.struct(label)).over(inside))
     )
     opens = F.col("_before").isNotNull() & _starts(F.col(label), F.col(f"_before.{label}"), mode)
