@@ -16,7 +16,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dossier.session import written
+
 HOT_KEYS = 256
+BROADCAST_ROWS = 100000
 BLOCK = 65536
 MAX_BUCKETS = 10000
 
@@ -32,14 +35,19 @@ def attach(
     columns; they need no partner there.
 
     ``size`` names a ``dim`` column with the number of facts per key, as aggregates of
-    the facts have it. Without it the keys are counted first (key columns only, combined
-    map-side). ``how`` is ``inner`` or ``left``; null keys match nothing.
+    the facts have it. Such a table is narrow; it is written once, and if it turns out to
+    have at most ``BROADCAST_ROWS`` rows, all of it is broadcast and no fact is shuffled.
+    Without ``size`` the keys are counted first (key columns only, combined map-side).
+    ``how`` is ``inner`` or ``left``; null keys match nothing.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
     values = [c for c in dim.columns if c not in on]
     keys = [F.col(k) for k in on]
     if size:
+        dim = written(dim, "lookup")
+        if dim.count() <= BROADCAST_ROWS:
+            return facts.join(F.broadcast(dim), on, how).select(*facts.columns, *values)
         hot_dim = dim.orderBy(F.desc(size), *keys).limit(HOT_KEYS)
     else:
         counts = known(facts, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))

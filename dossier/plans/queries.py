@@ -98,12 +98,10 @@ def ocr_doc_error(spark, sf_dir):
 
 def ocr_summary(spark, sf_dir):
     summary = ocr.ocr_corpus_summary(_doc_errors(spark, sf_dir))
-    printed = ocr.format_summary(summary)
     shares = [c for c in summary.columns if c != "n_docs"]
-    both = summary.select("n_docs", *[_r6(c) for c in shares]).join(
-        printed.select("n_docs", *[F.col(c).alias(f"{c}_pct") for c in shares]), "n_docs"
+    return summary.select(
+        "n_docs", *[_r6(c) for c in shares], *[text.pct(F.col(c)).alias(f"{c}_pct") for c in shares]
     )
-    return both
 
 
 # --- labels, boxes, sequences ----------------------------------------------------

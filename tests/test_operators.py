@@ -23,9 +23,10 @@ def correlation(a, b):
 # --- shared building blocks -------------------------------------------------------
 
 @pytest.mark.parametrize("hot", [0, 2, 256])
-@pytest.mark.parametrize("size", [None, "n"])
-def test_attach_is_a_join(spark, monkeypatch, hot, size):
+@pytest.mark.parametrize("size, rows", [(None, 0), ("n", 0), ("n", 1000)])
+def test_attach_is_a_join(spark, monkeypatch, hot, size, rows):
     monkeypatch.setattr(skew, "HOT_KEYS", hot)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", rows)
     draw = random.Random(hot)
     keys = ["hot" if draw.random() < 0.4 else f"k{draw.randrange(9)}" for _ in range(200)] + [None]
     facts = spark.createDataFrame(list(enumerate(keys)), "id int, k string")
