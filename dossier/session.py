@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,14 +34,14 @@ def build_session(app: str = "dossier", master: str | None = None, **conf) -> Sp
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session without the setting falls back to a temporary folder.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a session whose
+    executors live in this process falls back to a temporary folder.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dossier-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

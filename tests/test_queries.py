@@ -30,7 +30,7 @@ def test_against_sql(spark, con, name):
 
 def test_contract(spark):
     without = set(contract.queries()) - set(contract.oracle_sql())
-    assert without == {"q32_pair_model", "q33_field_tagger"}
+    assert {n for n in without if not n.startswith(("op", "pipeline"))} == {"q32_pair_model", "q33_field_tagger"}
     assert contract.entry(spark).count() > 0
 
 
