@@ -6,9 +6,46 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm import piece_codec
+from dossier.llm import html_blocks, piece_codec, quality_model, secret_scan, token_codes, url_filter, warc_bundles
 from dossier.llm.common import table
 
+QUALITY_LEAST = 0.3
+
+
+def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_codes.write_ids(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_codes.read_ids(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(documents, secret_scan.train(documents), keep=["doc_id"])
+    counts = [secret_scan.kind_count(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(secret_scan.joined(base_only=True).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined().alias("spans"),
+    )
+
+
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc_bundles.write_bundles(table(spark, sf_dir, "pages"))
+    manifest = spark.read.parquet(f"{folder}-manifest")
+    return warc_bundles.read_bundles(manifest, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Host suffix, path prefix and verdict, as given.
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
 
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,8 +59,28 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~quality_model.held_out())
+    scored = quality_model.score(documents, quality_model.fit(documents, labels), keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(quality_model.held_out(), F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
+
+
+def op9_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    text = html_blocks.extract(pages, html_blocks.fit(pages), keep=["page_id", "url"])
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
+    "op3_token_codes": op3_token_codes,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_warc_bundles": op5_warc_bundles,
+    "op6_url_filter": op6_url_filter,
     "op7_piece_codec": op7_piece_codec,
+    "op8_quality_model": op8_quality_model,
+    "op9_html_blocks": op9_html_blocks,
 }
 
 ORACLE: dict[str, str] = {}
