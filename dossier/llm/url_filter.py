@@ -119,9 +119,10 @@ def purity(paths: DataFrame) -> DataFrame:
     overall = hosts.agg(F.sum("hl").alias("al"), F.sum("hb").alias("ab")).head()
     everything = ((overall["ab"] or 0) + 1) / ((overall["al"] or 0) + 2)
     rest_n, rest_b = F.col("pl") - F.col("labelled"), F.col("pb") - F.col("blocked")
-    share, rest, both = F.col("blocked") / F.col("labelled"), rest_b / rest_n, F.col("pb") / F.col("pl")
-    spread = F.sqrt(both * (1 - both) * (1 / F.col("labelled") + 1 / rest_n))
-    alike = (F.col("labelled") == 0) | ((rest_n > 0) & (F.abs(share - rest) <= ALIKE * spread))
+    ratio = lambda a, b: F.try_divide(a, F.col(b) if isinstance(b, str) else b)
+    share, rest, both = ratio(F.col("blocked"), "labelled"), ratio(rest_b, rest_n), ratio(F.col("pb"), "pl")
+    spread = F.sqrt(both * (1 - both) * (ratio(F.lit(1.0), "labelled") + ratio(F.lit(1.0), rest_n)))
+    alike = F.coalesce((F.col("labelled") == 0) | (F.abs(share - rest) <= ALIKE * spread), F.lit(False))
     host_share = (F.col("hb") + PRIOR * everything) / (F.col("hl") + PRIOR)
     merged = (level.join(pooled, ["host", "parent"]).join(hosts, "host")
               .withColumn("ml", F.when(alike, F.col("pl")).otherwise(F.col("labelled")))
