@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm import html_blocks, piece_codec, quality_model, secret_scan, token_codes, url_filter, warc_bundles
+from dossier.llm import decontamination, html_blocks, jaccard_join, piece_codec, quality_model, secret_scan, subspace_join, token_codes, url_filter, warc_bundles
 from dossier.llm.common import table
 
 QUALITY_LEAST = 0.3
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents"), width=3, least=90, of=100).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_codes.write_ids(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -73,7 +82,13 @@ def op9_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op10_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.similar(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
+    "op2_decontamination": op2_decontamination,
     "op3_token_codes": op3_token_codes,
     "op4_secret_scan": op4_secret_scan,
     "op5_warc_bundles": op5_warc_bundles,
@@ -81,6 +96,7 @@ QUERIES = {
     "op7_piece_codec": op7_piece_codec,
     "op8_quality_model": op8_quality_model,
     "op9_html_blocks": op9_html_blocks,
+    "op10_subspace_join": op10_subspace_join,
 }
 
 ORACLE: dict[str, str] = {}
