@@ -13,13 +13,20 @@ from pyspark.sql import functions as F
 
 from dossier.session import work_dir, written
 
-__all__ = ["work_dir", "written", "table", "write_file", "text_bytes", "words_of", "shingles", "components"]
+__all__ = ["work_dir", "written", "table", "fresh", "write_file", "text_bytes", "words_of", "shingles", "components"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def write_file(path: str, payload: bytes) -> None:
     """Write one whole file in any store pyarrow can reach.
 

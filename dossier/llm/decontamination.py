@@ -3,10 +3,10 @@
 Texts become templates: numbers, names (words inside a sentence with only their first letter large) and units
 are replaced by typed placeholders, letters are lowered, punctuation goes. All windows
 of ``WINDOW`` template words of the texts are hash-joined with those of the benchmark
-items, so a question with other numbers and names still matches. For each match the
-slots are compared: inside the window, equal slot values of the item must stand for equal
-values in the text and different ones for different ones. A text is contaminated if it
-has a consistent window.
+items, so a question with other numbers and names still matches. The slots of windows
+that continue each other are compared: equal values of the item must stand for equal
+values in the text and different ones for different ones. A text is contaminated if its
+slots are consistent, or a window repeats the item's own values.
 
 Items shorter than a window are matched as a whole, from ``LEAST`` words on. A window needs
 at least half its words outside slots. Items with equal words are one item, the smallest
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.common import written
+from dossier.llm.common import fresh, written
 
 WINDOW = 8
 LEAST = 5
@@ -96,16 +96,22 @@ def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         .select("doc_id", "item_id", "i", "j", "a", part("item_words", "j").alias("b"))
         .filter(template(F.col("a")) == template(F.col("b"))))
     slots = F.filter(F.arrays_zip("a", "b"), lambda p: p["a"].startswith("\x01"))
-    kinds = F.size(F.array_distinct(F.col("slots")))
+    # Windows on one diagonal continue each other, so their slots must fit together.
+    runs = (
+        both.withColumn("slots", slots)
+        .groupBy("doc_id", "item_id", (F.col("i") - F.col("j")).alias("shift")).agg(
+            F.countDistinct("i").alias("windows"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
+            F.max(F.col("a") == F.col("b")).alias("equal"), F.min(F.col("a") == F.col("b")).alias("same_values")))
+    kinds = F.size("slots")
     consistent = ((kinds == F.size(F.array_distinct(F.transform("slots", lambda p: p["a"]))))
                   & (kinds == F.size(F.array_distinct(F.transform("slots", lambda p: p["b"])))))
     return (
-        both.withColumn("slots", slots).filter(consistent)
-        .groupBy("doc_id", "item_id").agg(
-            F.countDistinct("i", "j").alias("windows"), F.bool_and(F.col("a") == F.col("b")).alias("same_values")))
+        runs.filter(consistent | F.col("equal"))
+        .groupBy("doc_id", "item_id").agg(F.sum("windows").alias("windows"), F.min("same_values").alias("same_values")))
 
 
 def clean(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without a match, all columns. A document without key cannot be named, so it stays."""
-    found = written(matches(documents, items, key, text).select(F.col("doc_id").alias("_d")).distinct(), "leaks")
-    return documents.join(found, F.col(key) == F.col("_d"), "left_anti")
+    leak = fresh(documents, "leak")
+    found = written(matches(documents, items, key, text).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    return documents.join(found, F.col(key) == F.col(leak), "left_anti")
