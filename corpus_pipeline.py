@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps; all but the
 last return the columns of ``documents``. Stages are written and read again in between.
+
+Null and empty texts pass all stages: the quality model gives them its prior, they have no
+shingles, match nothing, hold no secret, and have the begin and end ids only. An empty
+table gives an empty table. Further columns are carried through; those named like a
+result of the last stage are replaced by it.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm import decontamination, jaccard_join, piece_codec, quality_model, secret_scan
-from dossier.llm.common import table, work_dir
+from dossier.llm.common import fresh, table, work_dir
 
 QUALITY_LEAST = 0.3
 
@@ -21,15 +26,20 @@ QUALITY_LEAST = 0.3
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the classifier rejects."""
     labels = table(spark, sf_dir, "labels").filter(~quality_model.held_out())
-    scored = quality_model.score(docs, quality_model.fit(docs, labels), out="_score")
-    return scored.filter(F.col("_score") >= QUALITY_LEAST).drop("_score")
+    score = fresh(docs, "score")
+    scored = quality_model.score(docs, quality_model.fit(docs, labels), out=score)
+    return scored.filter(F.col(score) >= QUALITY_LEAST).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group: five-word shingles, similarity 0.8 or more."""
+    """Keep the document with the smallest id of each group: five-word shingles, similarity 0.8 or more.
+
+    Of rows that share an id one stays. Rows without id are in no group and stay.
+    """
     groups = jaccard_join.similar(docs, width=5, least=80, of=100)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.filter("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,20 +49,22 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts; every document stays."""
-    found = secret_scan.scan(docs, secret_scan.train(docs), out="_secrets")
-    changed = F.size("_secrets") > 0
-    clean = secret_scan.redact(found, secrets="_secrets")
+    spans = fresh(docs, "secrets")
+    found = secret_scan.scan(docs, secret_scan.train(docs), out=spans)
+    changed = F.size(spans) > 0
+    clean = secret_scan.redact(found, secrets=spans)
     return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether decoding gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    keep = [c for c in docs.columns if c != "text"]
-    coded = piece_codec.encode(docs.withColumn("_sha", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)), model, keep=[*keep, "_sha"])
+    keep = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded", "round_trip")]
+    digest = lambda c: F.sha2(F.encode(F.coalesce(c, F.lit("")), "UTF-8"), 256)
+    sha = fresh(docs, "sha")
+    coded = piece_codec.encode(docs.select(*keep, "text", digest("text").alias(sha)), model, keep=[*keep, sha])
     back = piece_codec.decode(coded, model)
-    return back.select(*keep, piece_codec.id_count("ids").alias("n_tokens"), "ids",
-                       (F.sha2(F.encode("decoded", "UTF-8"), 256) == F.col("_sha")).alias("round_trip"))
+    return back.select(*keep, piece_codec.id_count("ids").alias("n_tokens"), "ids", (digest("decoded") == F.col(sha)).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
