@@ -1,10 +1,11 @@
 """Secret scan: fixed patterns, and character Markov models for what they miss.
 
 Two first-order Markov models over the characters of tokens are trained from labelled
-samples of all texts: the values that the fixed patterns find are random strings, all
-other runs of token characters are ordinary identifiers. A run of at least ``LEAST``
-characters outside the pattern spans is reported if its log-likelihood ratio, random
-against ordinary, is above ``MARGIN`` and it mixes letters and digits.
+samples of all texts: the values that the fixed patterns find are random strings, the
+other runs of token characters are ordinary identifiers. Candidates are runs of at least
+``LEAST`` characters outside the pattern spans that mix letters and digits. They are no
+training samples; one is reported if its log-likelihood ratio, random against ordinary,
+is above ``MARGIN``.
 
 Offsets are code points, end exclusive. Null texts count as empty.
 """
@@ -59,6 +60,19 @@ def base_spans(raw: np.ndarray) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
+def candidates(code: np.ndarray, spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Long runs of token characters outside the spans, with letters and digits."""
+    free = code < SIZE
+    for start, _, end, _ in spans:
+        free[start:end] = False
+    found = []
+    for start, end in runs(free, LEAST):
+        digits = ((code[start:end] >= 52) & (code[start:end] < 62)).sum()
+        if 0 < digits < end - start:
+            found.append((start, end))
+    return found
+
+
 def pair_counts(raw: np.ndarray, spans: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Character pairs of one text: in random strings, and elsewhere."""
     code = CODE[raw]
@@ -68,7 +82,10 @@ def pair_counts(raw: np.ndarray, spans: list[tuple[int, int, int, int]]) -> tupl
     for _, _, end, value in spans:
         inside[value:max(value, end - 1)] = True
     random = np.bincount(pair[inside], minlength=SIZE * SIZE + 1)[:-1]
-    return random, every - random
+    inside[:] = False
+    for start, end in candidates(code, spans):
+        inside[start:end - 1] = True
+    return random, every - random - np.bincount(pair[inside], minlength=SIZE * SIZE + 1)[:-1]
 
 
 def train(df: DataFrame, text: str = "text") -> np.ndarray:
@@ -102,16 +119,8 @@ def train(df: DataFrame, text: str = "text") -> np.ndarray:
 def random_spans(raw: np.ndarray, spans: list[tuple[int, int, int, int]], ratio: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Runs outside the given spans that the random model explains better."""
     code = CODE[raw]
-    free = code < SIZE
-    for start, _, end, _ in spans:
-        free[start:end] = False
-    found = []
-    for start, end in runs(free, LEAST):
-        part = code[start:end]
-        digits = ((part >= 52) & (part < 62)).sum()
-        if digits and digits < len(part) and ratio[part[:-1], part[1:]].sum() > MARGIN:
-            found.append((start, 3, end, start))
-    return found
+    return [(start, 3, end, start) for start, end in candidates(code, spans)
+            if ratio[code[start:end - 1], code[start + 1:end]].sum() > MARGIN]
 
 
 def _points(data: bytes, spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:

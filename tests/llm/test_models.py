@@ -71,7 +71,7 @@ def test_markov_models_find_random_strings(spark):
     rng = random.Random(8)
     chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
     key = lambda n: "".join(rng.choice(chars) for _ in range(n))
-    plain = ["read_config_file_2 getUserNameFromRequest handler internationalization total_number_of_rows_2024 " * 3] * 100
+    plain = ["read_config_file_2 getUserNameFromRequest internationalization total_number of_rows rows_2024 total_number_of_rows_2024 " * 3] * 100
     known = [f"api_key = {key(40)}" for _ in range(100)]
     hidden = [f"value {key(40)} end" for _ in range(30)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*plain, *known, *hidden])], "doc_id long, text string")
