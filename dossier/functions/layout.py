@@ -47,6 +47,13 @@ def flatten_polygon(points: Column) -> Column:
     return F.flatten(points)
 
 
+def envelope(coords: Column) -> Column:
+    """Smallest upright box around a flat coordinate list: lowest x and y, highest x and y."""
+    xs = F.filter(coords, lambda _, i: i % 2 == 0)
+    ys = F.filter(coords, lambda _, i: i % 2 == 1)
+    return F.array(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
+
+
 def norm_box(coords: Column, width: Column, height: Column) -> Column:
     """Coordinates scaled to 0..1000 by page size, cut toward zero; null for a page of zero size.
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed order: mail addresses and long digit runs go first, since a card number
-# would also pass for a phone number. Patterns use only syntax common to Java and RE2.
+# would also pass for a phone number. Of the two number forms an unbroken run comes
+# first, since the grouped form would stop inside a longer run. Patterns use only syntax common to Java and RE2.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-    "number": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}|[0-9]{12,}",
+    "number": r"[0-9]{12,}|[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "phone": r"(\+[0-9]{1,3}[ .-]?)?(\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dossier.functions.metrics import cosine, mse
 from dossier.operators.ranking import avg_rank
-from dossier.operators.skew import attach, known
+from dossier.operators.skew import known
 from dossier.session import written
 
 
@@ -36,6 +36,7 @@ def _pair_sums(df: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:
 
     The input, often a model run, is read once: distinct (a, b) pairs with their counts
     are written to the shared work folder and everything else starts from that table.
+    Joins of ranks and centres are left to the adaptive skew join.
     Ranks deviate from their mean (n + 1) / 2 and values from theirs before they are
     multiplied, so nothing cancels at large n.
     """
@@ -43,16 +44,16 @@ def _pair_sums(df: DataFrame, a: str, b: str, by: list[str]) -> DataFrame:
     valid = valid_pairs(df, a, b)
     keyed = known(valid, by) if by else valid.withColumn("_all", F.lit(0))
     pairs = written(keyed.groupBy(*group, a, b).agg(F.count(F.lit(1)).alias("_w")), "pairs")
-    rank_a = avg_rank(pairs, a, group, "_w").select(*group, a, F.col("n").alias("_na"), F.col("rank").alias("_ra"))
-    rank_b = avg_rank(pairs, b, group, "_w").select(*group, b, F.col("n").alias("_nb"), F.col("rank").alias("_rb"))
-    ranked = attach(attach(pairs, rank_a, [*group, a], size="_na"), rank_b, [*group, b], size="_nb")
+    rank_a = avg_rank(pairs, a, group, "_w").select(*group, a, F.col("rank").alias("_ra"))
+    rank_b = avg_rank(pairs, b, group, "_w").select(*group, b, F.col("rank").alias("_rb"))
+    ranked = pairs.join(rank_a, [*group, a]).join(rank_b, [*group, b])
 
     w, x, y = F.col("_w"), F.col(a).cast("double"), F.col(b).cast("double")
     centres = pairs.groupBy(*group).agg(
-        F.sum(w).alias("_size"), ((F.sum(w) + 1) / 2).alias("_mid"),
+        ((F.sum(w) + 1) / 2).alias("_mid"),
         (F.sum(w * x) / F.sum(w)).alias("_ma"), (F.sum(w * y) / F.sum(w)).alias("_mb"),
     )
-    centred = attach(ranked, centres, group, size="_size")
+    centred = ranked.join(centres, group)
     dx, dy = x - F.col("_ma"), y - F.col("_mb")
     rx, ry = F.col("_ra") - F.col("_mid"), F.col("_rb") - F.col("_mid")
     return centred.groupBy(*by).agg(

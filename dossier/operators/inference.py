@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from dossier.functions.text import (
     floor_zero_score,
@@ -25,35 +28,41 @@ def batch_infer(
     fn: Callable[[Any, dict], Any],
     out_type: str = "string",
     out: str = "value",
+    keep: list[str] | None = None,
+    errors: tuple[type[Exception], ...] = (Exception,),
 ) -> DataFrame:
     """Run a model over all records and keep going when one fails.
 
     ``loader`` is called once per task, ``fn(model, record)`` per record with the
-    ``inputs`` as a dict. Adds ``out`` and ``error`` (null on success). Batches follow
+    ``inputs`` as a dict. Adds ``out`` and ``error`` (null on success) to the columns
+    ``keep`` (all by default); only these and the inputs reach Python. Kept columns pass
+    as they came, whole numbers of any size included, and inputs and results are plain
+    Python values. Exceptions other than ``errors`` end the job. Batches follow
     ``spark.sql.execution.arrow.maxRecordsPerBatch``, so memory does not grow with the
     partition. Both callables are sent to the executors.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    schema += f", `{out}` {out_type}, `error` string"
+    keep = df.columns if keep is None else list(keep)
+    result = StructType.fromDDL(f"`{out}` {out_type}, `error` string")
+    schema = StructType([df.schema[c] for c in keep] + result.fields)
+    kind = to_arrow_type(result[out].dataType)
 
     def run(batches):
         model = None
         for batch in batches:
             if model is None:
                 model = loader()
-            values, errors = [], []
-            for record in batch[inputs].to_dict("records"):
+            values, problems = [], []
+            for record in batch.select(inputs).to_pylist():
                 try:
                     values.append(fn(model, record))
-                    errors.append(None)
-                except Exception as problem:
+                    problems.append(None)
+                except errors as problem:
                     values.append(None)
-                    errors.append(f"{type(problem).__name__}: {problem}")
-            batch = batch.copy()
-            batch[out], batch["error"] = values, errors
-            yield batch
+                    problems.append(f"{type(problem).__name__}: {problem}")
+            columns = [*(batch.column(c) for c in keep), pa.array(values, kind), pa.array(problems, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, out, "error"])
 
-    return df.mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(run, schema)
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,7 +105,8 @@ def score_records(
     """Instruction records to score results: prompt, model, parsing, adjustment.
 
     ``generate(model, prompt)`` returns the full response, with or without the prompt.
-    A record whose generation fails has null scores, so it counts as failed.
+    A record whose generation fails has null scores, so it counts as failed; ``error``
+    says why.
     """
     prompts = df.select(
         id_, F.coalesce("output", F.lit("")).alias("output"),
@@ -105,6 +115,7 @@ def score_records(
         ).alias("prompt"),
     )
     answered = batch_infer(
-        prompts, ["prompt"], loader, lambda model, record: generate(model, record["prompt"]), out="response"
+        prompts, ["prompt"], loader, lambda model, record: generate(model, record["prompt"]), out="response",
+        keep=[id_, "output"],
     )
-    return parse_scores(answered.drop("prompt", "error"))
+    return parse_scores(answered)

@@ -75,16 +75,19 @@ def select_model(
 ) -> tuple[Model, DataFrame]:
     """Fit one scorer per penalty, keep the best on validation.
 
-    Returns the model and the log of metrics, one row per penalty. All scorers are
-    evaluated in one pass over the validation rows.
+    Returns the model and the log of metrics, one row per penalty. The predictions of
+    all scorers are columns of one pass over the validation rows.
     """
     fitted = [fit_pair_scorer(train, label, penalty) for penalty in penalties]
-    scored = None
-    for i, (model, penalty) in enumerate(zip(fitted, penalties)):
-        rows = score_pairs(model, validation).select(
-            F.lit(i).alias("epoch"), F.lit(float(penalty)).alias("penalty"), label, "predicted_score"
-        )
-        scored = rows if scored is None else scored.unionByName(rows)
+    rows = _described(validation)
+    for i, model in enumerate(fitted):
+        rows = model.transform(rows).withColumnRenamed("_raw", f"_raw{i}")
+    answers = F.array(*[
+        F.struct(F.lit(i).alias("epoch"), F.lit(float(penalty)).alias("penalty"),
+                 F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(f"_raw{i}"))).alias("predicted_score"))
+        for i, penalty in enumerate(penalties)
+    ])
+    scored = rows.select(label, F.explode(answers).alias("answer")).select(label, "answer.*")
     log = written(evaluate_pairs(scored, "predicted_score", label, ["epoch", "penalty"]), "model-log")
     best = best_epoch(log, metric).head()
     return fitted[best["epoch"] if best else 0], log

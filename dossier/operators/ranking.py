@@ -19,7 +19,7 @@ def _scaled(score: str):
 def _extremes(df: DataFrame, group: str, score: str) -> DataFrame:
     value = F.col(score).cast("double")
     return df.groupBy(group).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(F.lit(1)).alias("_size")
+        F.min(value).alias("_low"), F.max(value).alias("_high")
     )
 
 
@@ -29,8 +29,8 @@ def minmax_by_group(df: DataFrame, group: str, score: str, out: str = "normalize
     The extremes are aggregated (map-side combine) and joined back; a window over the
     group would sort a hot group in one task.
     """
-    joined = attach(df, _extremes(df, group, score), [group], size="_size")
-    return joined.withColumn(out, _scaled(score)).drop("_low", "_high", "_size")
+    joined = attach(df, _extremes(df, group, score), [group])
+    return joined.withColumn(out, _scaled(score)).drop("_low", "_high")
 
 
 def top_k_by_group(df: DataFrame, group: str, score: str, tie: str, k: int = TOP_K, out: str = "rank") -> DataFrame:
@@ -53,7 +53,7 @@ def top_k_scaled(
     """
     best = top_k_by_group(df, group, score, tie, k)
     scaled = best.join(_extremes(df, group, score), group).withColumn(out, _scaled(score))
-    return scaled.drop("_low", "_high", "_size")
+    return scaled.drop("_low", "_high")
 
 
 def attach_jobs(ranked: DataFrame, jobs: DataFrame, on: str = "job_title") -> DataFrame:

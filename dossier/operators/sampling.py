@@ -66,6 +66,14 @@ def split_flag(df: DataFrame, key: str, frac: float = TEST_FRACTION, seed: int =
     return _flag_first(df, key, seed, lambda n: F.ceil(n * F.lit(frac)), out)
 
 
+def split_groups(
+    df: DataFrame, group: str, frac: float = TEST_FRACTION, seed: int = SPLIT_SEED, out: str = "is_validation"
+) -> DataFrame:
+    """``split_flag`` over whole groups: exactly ceil(groups * frac) of them are validation. Rows without group drop out."""
+    groups = df.select(group).filter(F.col(group).isNotNull()).distinct()
+    return df.join(split_flag(groups, group, frac, seed, out), group).select(*df.columns, out)
+
+
 def holdout_sample(
     df: DataFrame, key: str, frac: float = TEST_FRACTION, seed: int = HOLDOUT_SEED
 ) -> DataFrame:
@@ -74,6 +82,12 @@ def holdout_sample(
     return flagged.filter("_in").drop("_in")
 
 
+def overlap(train: DataFrame, holdout: DataFrame, key: str) -> DataFrame:
+    """One row: sizes of the second sample and of its part that was trained on."""
+    both = holdout.select(key).join(train.select(F.col(key), F.lit(True).alias("_in")), key, "left")
+    return both.agg(F.count(F.lit(1)).alias("n_holdout"), F.count("_in").alias("n_overlap"))
+
+
 def eval_limit(df: DataFrame, key: str, n: int = EVAL_ROWS) -> DataFrame:
     """The first ``n`` rows by key."""
     return df.orderBy(key).limit(n)

@@ -2,12 +2,12 @@
 
 Three ideas are shared by the other operators:
 
-* ``attach``: many-to-one join that treats the most frequent keys apart. Their few
-  rows are broadcast, all other keys have a bounded share of the data and are shuffled.
+* ``attach``: many-to-one join that treats keys apart which would overfill a partition.
+  Their rows are broadcast, all other keys have a bounded share and are shuffled.
 * blocks: an integer position is cut into ranges of ``BLOCK`` values. Work inside a
   group runs per (group, block); only one row per block crosses the whole group.
-* buckets: a global order is cut into a fixed number of ranges. Only the bucket
-  counts are ordered in one place, which are few.
+* buckets: a global order is cut into as many ranges as there are shuffle partitions.
+  Only the bucket counts are ordered in one place, which are few.
 """
 
 from __future__ import annotations
@@ -16,62 +16,39 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dossier.session import written
-
-HOT_KEYS = 256
-BROADCAST_ROWS = 100000
 BLOCK = 65536
-MAX_BUCKETS = 10000
 
 
-def attach(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", size: str | None = None
-) -> DataFrame:
+def attach(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join ``facts`` to ``dim``, which has one row per key ``on``.
 
-    The ``HOT_KEYS`` most frequent keys are handled apart: their ``dim`` rows, at most
-    that many, are broadcast. Every other key has less than 1/``HOT_KEYS`` of the facts,
-    so a shuffle by key is safe. Hot rows pass that shuffle under the hash of all their
-    columns; they need no partner there.
-
-    ``size`` names a ``dim`` column with the number of facts per key, as aggregates of
-    the facts have it. Such a table is narrow; it is written once, and if it turns out to
-    have at most ``BROADCAST_ROWS`` rows, all of it is broadcast and no fact is shuffled.
-    Without ``size`` the keys are counted first (key columns only, combined map-side).
-    ``how`` is ``inner`` or ``left``; null keys match nothing.
+    A key is hot if it has more facts than a shuffle partition has on average, so there
+    are fewer hot keys than partitions. Their rows of ``dim`` are broadcast and their facts
+    stay where they are, equal ones included. All other facts are shuffled by key, which adds
+    at most one average partition to any partition. Keys are counted in the plan (key
+    columns only, combined map-side). ``facts`` is read three times; write it first if
+    it is costly. ``how`` is ``inner`` or ``left``; null keys match nothing.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    values = [c for c in dim.columns if c not in on]
-    keys = [F.col(k) for k in on]
-    if size:
-        dim = written(dim, "lookup")
-        if dim.count() <= BROADCAST_ROWS:
-            return facts.join(F.broadcast(dim), on, how).select(*facts.columns, *values)
-        hot_dim = dim.orderBy(F.desc(size), *keys).limit(HOT_KEYS)
-    else:
-        counts = known(facts, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*on)
-        hot_dim = dim.join(F.broadcast(hot), on, "left_semi")
-
-    payload = F.struct(F.lit(True).alias("found"), *values)
-    hot_dim = hot_dim.select(*on, payload.alias("_hot"))
-    cold_dim = dim.select(*on, F.xxhash64(*keys).alias("_spread"), payload.alias("_cold"))
-    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns if not _has_map(facts, c)])
-    spread = F.when(F.col("_hot").isNull(), F.xxhash64(*keys)).otherwise(row_hash)
-    joined = (
-        facts.join(F.broadcast(hot_dim), on, "left")
-        .withColumn("_spread", spread)
-        .join(cold_dim, [*on, "_spread"], "left")
-        .withColumn("_dim", F.coalesce("_hot", "_cold"))
-    )
-    if how == "inner":
-        joined = joined.filter(F.col("_dim").isNotNull())
-    return joined.select(*facts.columns, *[F.col(f"_dim.{v}").alias(v) for v in values])
-
-
-def _has_map(df: DataFrame, column: str) -> bool:
-    return "map<" in df.schema[column].dataType.simpleString()
+    values = [F.col(f"_dim.{c}").alias(c) for c in dim.columns if c not in on]
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = known(facts, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter(F.col("_n") * parts > total).select(*on, F.lit(True).alias("_hot"))
+    payload = dim.select(*on, F.struct(F.lit(True).alias("found"), *[c for c in dim.columns if c not in on]).alias("_dim"))
+    marked = known(facts, on).join(F.broadcast(hot), on, "left")
+    cold_part = marked.filter(F.col("_hot").isNull()).join(payload, on, how)
+    hot_payload = payload.join(F.broadcast(hot.select(*on)), on, "left_semi")
+    hot_part = marked.filter(F.col("_hot").isNotNull()).join(F.broadcast(hot_payload), on, how)
+    out = cold_part.unionByName(hot_part).select(*facts.columns, *values)
+    if how == "left":
+        missing = F.lit(False)
+        for key in on:
+            missing = missing | F.col(key).isNull()
+        nothing = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in dim.columns if c not in on]
+        out = out.unionByName(facts.filter(missing).select(*facts.columns, *nothing))
+    return out
 
 
 def split_points(df: DataFrame, column: str, parts: int | None = None) -> list[float]:
@@ -81,7 +58,7 @@ def split_points(df: DataFrame, column: str, parts: int | None = None) -> list[f
     every branch and every retry sees the same bucket borders.
     """
     if parts is None:
-        parts = min(MAX_BUCKETS, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / parts for i in range(1, parts)]
     return sorted(set(df.approxQuantile(column, shares, 1 / (4 * parts))))
 

@@ -1,12 +1,12 @@
 """The registered queries in DuckDB SQL, for comparison.
 
-Absent are the two fitted models, whose results SQL cannot express.
+Fitted models have a known result on labels that follow from their features.
 """
 
 from __future__ import annotations
 
 from dossier.functions import text
-from dossier.functions.privacy import PATTERNS
+from dossier.functions.layout import LABELS_EN
 
 _ESCAPES = {f"\\u{code}": f"\\x{{{code}}}" for code in (
     "1680", "2000", "200a", "2028", "2029", "202f", "205f", "3000"
@@ -64,7 +64,7 @@ errors AS (
          {_distance("array_to_string(hyp_words, ' ')", "array_to_string(ref_words, ' ')")} AS word_errors
   FROM words)"""
 _K = "regexp_extract(props, '([0-9]+)', 1)::INT"
-_EN = "['PERSONAL_INFO','JOB_TITLE','PROFESSIONAL_SUMMARY','SKILL','CERTIFICATION','LANGUAGE','EDUCATION','WORK_EXPERIENCE','HOBBY','ADDITIONAL_ACTIVITY','VOLUNTEERING','PROJECT','OTHERS']"
+_EN = f"{list(LABELS_EN)}"
 _TOKENS = f"""tokens AS (
   SELECT *, {_EN}[gold_id + 1] AS gold, {_EN}[CASE WHEN pred_id < 0 THEN pred_id ELSE pred_id + 1 END] AS pred
   FROM (SELECT *, CASE WHEN k % 7 = 0 THEN (gold_id + 1) % 13 WHEN k % 11 = 0 THEN -1 ELSE gold_id END AS pred_id
@@ -200,7 +200,7 @@ def _section(i: int) -> str:
     return f"CASE WHEN regexp_matches(input, {_text(_SECTIONS)}) THEN regexp_extract(input, {_text(_SECTIONS)}, {i}) END"
 
 
-def _scrubbed() -> str:
+def _scrubbed(x: str = "text") -> str:
     def digest(kind):
         return f"md5('42:' || doc_id || ':{kind}')"
 
@@ -213,12 +213,32 @@ def _scrubbed() -> str:
         "ip": f"'192.0.2.' || substr({digits('ip')}, 1, 1)",
         "phone": f"'555-01' || substr({digits('phone')}, 1, 2)",
     }
-    x = "text"
-    for kind, pattern in PATTERNS.items():
+    patterns = {
+        "email": r"[\w.%+-]+@[a-zA-Z\d-]+(?:\.[a-zA-Z\d-]+)+",
+        "number": r"\d{12,}|(?:\d{4}[ -]?){3}\d{1,7}",
+        "ip": r"\d{1,3}(?:\.\d{1,3}){3}",
+        "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}",
+    }
+    for kind, pattern in patterns.items():
         x = f"regexp_replace({x}, '{pattern}', {made[kind]}, 'g')"
     return x
 
 
+def _terms(x: str) -> str:
+    return rf"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> ''))"
+
+
+_PAIR_TERMS = f"""pairs AS (
+  SELECT doc_id, job_title, len(a)::DOUBLE AS na, len(b)::DOUBLE AS nb, len(list_intersect(a, b))::DOUBLE AS both_
+  FROM (SELECT doc_id, source AS job_title, {_terms('d.text')} AS a, {_terms('b.text')} AS b
+        FROM documents d JOIN labels USING (doc_id) JOIN benchmark b ON source = 'src' || item_id))"""
+_PAIR_NUMBERS = {
+    "binary_cosine": "coalesce(both_ / nullif(sqrt(na * nb), 0), 0)", "coverage_a": "coalesce(both_ / nullif(na, 0), 0)",
+    "coverage_b": "coalesce(both_ / nullif(nb, 0), 0)", "length_ratio": "coalesce(least(na, nb) / nullif(greatest(na, nb), 0), 0)",
+}
+_SPLIT = f"split AS (SELECT doc_id, place, size FROM ({_ordered('42', _CEIL, source='pairs')}))"
+
+
 ORACLE = {
     "q01_ocr_assemble": f"""WITH {_ASSEMBLED}
         SELECT 'scan_' || doc_id || '.pdf' AS file, coalesce(ocr_text, '') AS ocr_text,
@@ -270,7 +290,7 @@ ORACLE = {
           array_to_string(list_transform(places, lambda i: CASE WHEN i <= n THEN ks[i] || ',' || gs[i] ELSE '0,0' END), ',') AS bbox,
           array_to_string(list_transform(places, lambda i: CASE WHEN i <= n THEN 1 ELSE 0 END), ',') AS attention_mask
         FROM pages""",
-    "q08_argmax_mask": """SELECT vec_id, (list_position(embedding[1:10], list_max(embedding[1:10])) - 1)::INT AS pred, label AS gold
+    "q08_argmax_mask": """SELECT vec_id, (list_position(embedding, list_max(embedding)) - 1)::INT AS pred, label AS gold
         FROM embeddings WHERE label <> 9""",
     "q09_token_accuracy": f"""WITH {_TOKENS}
         SELECT count(*) AS n_tokens, count(*) FILTER (gold = pred) AS n_right,
@@ -288,7 +308,7 @@ ORACLE = {
     "q12b_shuffle_rows": """SELECT doc_id, row_number() OVER (ORDER BY md5('3:42:' || doc_id), doc_id) - 1 AS position
         FROM documents""",
     "q12c_eval_limit": f"""SELECT doc_id, source FROM ({_ordered('42', _CEIL)})
-        WHERE place <= size ORDER BY doc_id LIMIT 100""",
+        WHERE place <= size ORDER BY doc_id LIMIT 40""",
     "q13_cosine_pairs": f"WITH {_SIMILAR} SELECT vec_id, target, round(cosine, 6) AS cosine FROM near_pairs",
     "q13b_cosine_loss": f"""WITH {_SIMILAR}
         SELECT round(avg((cosine - target) ** 2), 6) AS mse, round(1 - avg(cosine), 6) AS cosine_loss,
@@ -351,7 +371,7 @@ ORACLE = {
         SELECT item, count(*) AS n FROM items WHERE item <> '' GROUP BY item""",
     "q29_scrub_pii": f"SELECT doc_id, {_scrubbed()} AS text FROM documents",
     "q29b_sample_source": """SELECT doc_id, n_chars FROM documents WHERE source = 'src0'
-        ORDER BY md5('42:' || doc_id), doc_id LIMIT 1500""",
+        ORDER BY md5('42:' || doc_id), doc_id LIMIT 20""",
     "q30_union_sources": """SELECT source, count(*) AS n_records FROM (
           SELECT 'documents' AS source FROM documents UNION ALL SELECT 'conversations' FROM conversations
           UNION ALL SELECT 'benchmark' FROM benchmark) GROUP BY ROLLUP (source)""",
@@ -363,17 +383,35 @@ ORACLE = {
             THEN regexp_replace(p, '([^/]*[^./][^/]*)(\.[^./]*)$', '\1_train\2') ELSE p || '_train' END AS out_path FROM listed)
         SELECT out_path, page_id, first_int FROM named
         WHERE NOT EXISTS (SELECT 1 FROM named d WHERE d.https AND d.out_path = named.out_path)""",
+    "q32_pair_model": f"""WITH {_PAIR_TERMS}, {_SPLIT}
+        SELECT 0 AS epoch, 0::DOUBLE AS penalty, count(*) AS n, 0::DOUBLE AS mse, 0::DOUBLE AS mae, 1::DOUBLE AS pearson,
+               1::DOUBLE AS spearman FROM pairs JOIN split USING (doc_id) WHERE place <= size""",
+    "q32b_pair_features": f"""WITH {_PAIR_TERMS}
+        SELECT doc_id, job_title, {", ".join(f"round({x}, 6) AS {n}" for n, x in _PAIR_NUMBERS.items())} FROM pairs""",
+    "q32c_pair_scores": f"""WITH {_PAIR_TERMS}, {_SPLIT}
+        SELECT doc_id, round(0.1 + 0.5 * {_PAIR_NUMBERS["binary_cosine"]} + 0.3 * {_PAIR_NUMBERS["length_ratio"]}, 4) AS predicted_score
+        FROM pairs JOIN split USING (doc_id) WHERE place <= size""",
+    "q32d_residual_moments": f"""WITH {_PAIR_TERMS}
+        SELECT count(*) AS n, true AS no_mean, {", ".join(f"true AS no_{n}" for n in _PAIR_NUMBERS)} FROM pairs""",
+    "q33_field_tagger": f"""WITH {_TOKENS.replace("tokens AS", "every_token AS", 1)},
+        pages AS (SELECT page_key, row_number() OVER (ORDER BY md5('42:' || page_key), page_key) AS place,
+                         ceil(count(*) OVER () * 0.1::DOUBLE) AS size FROM (SELECT DISTINCT page_key FROM every_token)),
+        tokens AS (SELECT page_key, pos, gold, gold AS pred FROM every_token JOIN pages USING (page_key) WHERE place <= size),
+        gold_compat AS {_chunks('gold', 'compat')}, pred_compat AS {_chunks('pred', 'compat')}
+        SELECT * EXCLUDE (mode) FROM ({_prf('compat')})""",
     "q34_incremental_files": "SELECT doc_id, source, length(text) AS n_chars FROM documents",
     "q35_batch_infer": """SELECT doc_id, CASE WHEN NOT contains(text, '|') THEN len(string_split(text, ' ')) END AS value,
           CASE WHEN contains(text, '|') THEN 'ValueError: separator in text' END AS error FROM documents""",
+    "q35b_split_inferred": """SELECT doc_id, CASE WHEN NOT contains(text, '|') THEN len(string_split(text, ' ')) END AS value,
+          CASE WHEN contains(text, '|') THEN 'bad' ELSE 'good' END AS part FROM documents""",
     "q36_score_records": f"""WITH prompts AS (
           SELECT conv_id * 100 + turn AS id, {_prompt('text', 'role')} AS prompt,
                  '匹配度：0.' || turn || chr(10) || '理由：-' AS reference_output FROM conversations),
         answers AS (
-          SELECT *, CASE WHEN length(prompt) % 13 <> 0 THEN {_strip("prompt || chr(10) || '匹配度：0.' || (length(prompt) % 7) || '0' || chr(10) || '理由：' || CASE WHEN length(prompt) % 3 <> 0 THEN '技能不足。' ELSE '经验相关。' END")} END AS answer
+          SELECT *, CASE WHEN length(prompt) % 13 = 0 THEN 'ValueError: no answer' END AS error, CASE WHEN length(prompt) % 13 <> 0 THEN {_strip("prompt || chr(10) || '匹配度：0.' || (length(prompt) % 7) || '0' || chr(10) || '理由：' || CASE WHEN length(prompt) % 3 <> 0 THEN '技能不足。' ELSE '经验相关。' END")} END AS answer
           FROM prompts),
         scored AS (SELECT *, {_last_unit('answer')} AS s FROM answers),
         done AS (SELECT *, {_soften('s', 'answer')} AS generated_output FROM scored)
         SELECT id, generated_output, reference_output, CASE WHEN s = 0 THEN 0.4::DOUBLE ELSE s END AS pred_score,
-               {_last_unit('reference_output')} AS true_score, {_reason('generated_output')} AS reason_only FROM done""",
+               {_last_unit('reference_output')} AS true_score, {_reason('generated_output')} AS reason_only, error FROM done""",
 }

@@ -174,7 +174,7 @@ def sequence_pack(spark, sf_dir):
 
 def argmax_mask(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", layout.argmax(F.slice("embedding", 1, 10)).alias("pred"),
+        "vec_id", layout.argmax(F.col("embedding")).alias("pred"),
         F.when(F.col("label") == 9, layout.IGNORED).otherwise(F.col("label")).alias("gold"),
     )
     return grouping.mask_ignored(vectors, "gold", "pred")
@@ -212,7 +212,7 @@ def holdout_sample(spark, sf_dir):
 
 def eval_limit(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return sampling.eval_limit(sampling.split_exact(docs, "doc_id")[1], "doc_id")
+    return sampling.eval_limit(sampling.split_exact(docs, "doc_id")[1], "doc_id", 40)
 
 
 def shuffle_rows(spark, sf_dir):
@@ -221,7 +221,7 @@ def shuffle_rows(spark, sf_dir):
 
 def sample_source(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").filter(F.col("source") == "src0")
-    return sampling.sample_n(docs.select("doc_id", "n_chars"), "doc_id")
+    return sampling.sample_n(docs.select("doc_id", "n_chars"), "doc_id", 20)
 
 
 # --- similarity and metrics ------------------------------------------------------
@@ -344,7 +344,7 @@ def coarse_to_fine(spark, sf_dir):
 
 def _records(spark, sf_dir) -> DataFrame:
     """Instruction records of the ranked candidates, numbered in résumé order."""
-    numbered = skew.with_index(coarse_to_fine(spark, sf_dir), "resume_id")
+    numbered = skew.with_index(written(coarse_to_fine(spark, sf_dir), "ranked"), "resume_id")
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("resume_id"), "text")
     return numbered.join(texts, "resume_id").select(
         "id", "resume_id", F.col("text").alias("instruction"), F.col("job_text").alias("input")
@@ -515,23 +515,60 @@ def _pairs(spark, sf_dir) -> DataFrame:
     return ranking.attach_jobs(docs, _jobs(spark, sf_dir)).withColumnRenamed("job_text", "text_b")
 
 
+def _described_pairs(spark, sf_dir) -> DataFrame:
+    return models.pair_features(_pairs(spark, sf_dir)).drop("text_a", "text_b")
+
+
+def pair_features(spark, sf_dir):
+    return _rounded(_described_pairs(spark, sf_dir).drop("features", "label"), *models.PAIR_FEATURES)
+
+
+def _linear_pairs(spark, sf_dir) -> DataFrame:
+    """Pairs whose label is a linear function of their features, with the split as a flag, written once."""
+    label = 0.1 + 0.5 * F.col("binary_cosine") + 0.3 * F.col("length_ratio")
+    described = _described_pairs(spark, sf_dir).withColumn("label", label)
+    flags = sampling.split_flag(_pairs(spark, sf_dir).select("doc_id"), "doc_id")
+    return written(described.join(flags, "doc_id"), "pairs")
+
+
 def pair_model(spark, sf_dir):
-    described = written(models.pair_features(_pairs(spark, sf_dir)).drop("text_a", "text_b"), "pairs")
-    train, validation = sampling.split_exact(described, "doc_id")
-    _, log = models.select_model(train, validation)
-    return log
+    """The best scorer: without penalty it finds the linear label."""
+    pairs = _linear_pairs(spark, sf_dir)
+    _, log = models.select_model(pairs.filter("not is_validation"), pairs.filter("is_validation"))
+    best = logs.best_epoch(log, "spearman")
+    places = {"mse": 6, "mae": 4, "pearson": 4, "spearman": 2}
+    return best.select("epoch", "penalty", "n", *[F.round(c, d).alias(c) for c, d in places.items()])
+
+
+def pair_scores(spark, sf_dir):
+    """Predicted score of every validation pair."""
+    pairs = _linear_pairs(spark, sf_dir)
+    model = models.fit_pair_scorer(pairs.filter("not is_validation"))
+    scored = models.score_pairs(model, pairs.filter("is_validation"))
+    return scored.select("doc_id", F.round("predicted_score", 4).alias("predicted_score"))
+
+
+def residual_moments(spark, sf_dir):
+    """Least squares leaves residuals without mean and without relation to any feature."""
+    described = written(_described_pairs(spark, sf_dir), "pairs")
+    raw = models.fit_pair_scorer(described).transform(described)
+    rest = F.col("label") - F.col("_raw")
+    return raw.agg(
+        F.count(F.lit(1)).alias("n"), (F.abs(F.avg(rest)) < 1e-6).alias("no_mean"),
+        *[(F.abs(F.avg(rest * F.col(c))) < 1e-6).alias(f"no_{c}") for c in models.PAIR_FEATURES])
 
 
 def field_tagger(spark, sf_dir):
+    """Whole pages are held out. The token decides the label, so every held-out token is found."""
     tokens = _tokens(spark, sf_dir).select(
-        "page_key", "pos", F.concat_ws("-", "event_type", F.col("k").cast("string")).alias("text"),
+        "page_key", "pos", F.col("event_type").alias("text"),
         F.array(F.col("k"), F.col("value").cast("int"), F.col("k") + 10, F.lit(900)).alias("box"), "gold",
     )
-    described = written(models.token_features(tokens, "page_key", "pos", box="box"), "tokens")
-    train, validation = sampling.split_exact(described, "pos")
-    model = models.fit_field_tagger(train, layout.LABELS_EN, "gold", iterations=5)
-    tagged = models.tag_fields(model, validation)
-    return tagging.evaluate_tags(tagged, "page_key", "pos", "gold", "predicted")
+    described = models.token_features(tokens, "page_key", "pos", box="box")
+    split = written(sampling.split_groups(described, "page_key"), "tokens")
+    model = models.fit_field_tagger(split.filter("not is_validation"), layout.LABELS_EN, "gold", iterations=20)
+    tagged = models.tag_fields(model, split.filter("is_validation"))
+    return _rounded(tagging.evaluate_tags(tagged, "page_key", "pos", "gold", "predicted"), "precision", "recall", "f1", "accuracy")
 
 
 def batch_infer(spark, sf_dir):
@@ -544,11 +581,14 @@ def batch_infer(spark, sf_dir):
         return len(record["text"].split(" "))
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = inference.batch_infer(docs, ["text"], loader, count_words, "bigint")
-    good, bad = inference.split_errors(done)
-    return good.select("doc_id", "value", F.lit(None).cast("string").alias("error")).unionByName(
-        bad.select("doc_id", "value", "error")
-    )
+    return inference.batch_infer(docs, ["text"], loader, count_words, "bigint", keep=["doc_id"])
+
+
+def split_inferred(spark, sf_dir):
+    """Good and bad records apart; the model's answers are written first, so it runs once."""
+    good, bad = inference.split_errors(written(batch_infer(spark, sf_dir), "inferred"))
+    parts = good.withColumn("part", F.lit("good")), bad.drop("error").withColumn("part", F.lit("bad"))
+    return parts[0].unionByName(parts[1])
 
 
 def score_records(spark, sf_dir):
@@ -612,8 +652,12 @@ QUERIES = {
     "q30_union_sources": union_sources,
     "q31_pending_outputs": pending_outputs,
     "q32_pair_model": pair_model,
+    "q32b_pair_features": pair_features,
+    "q32c_pair_scores": pair_scores,
+    "q32d_residual_moments": residual_moments,
     "q33_field_tagger": field_tagger,
     "q34_incremental_files": incremental,
     "q35_batch_infer": batch_infer,
+    "q35b_split_inferred": split_inferred,
     "q36_score_records": score_records,
 }

@@ -11,25 +11,28 @@ from dossier.functions.text import report_block
 from dossier.operators.collections import report_order
 from dossier.operators.evaluation import failed_pairs
 from dossier.operators.logs import metric_layout
+from dossier.session import written
 
 RECORD_SEPARATOR = "\n\n"
 
 
 def write_sequences(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Encoded sequences as parquet. Having none is an error.
+    """Encoded sequences as parquet. Having none is an error, which leaves ``path`` as it was.
 
-    The check reads the footer counts of what was written instead of running the plan
-    a second time.
+    The plan runs once, into the shared work folder. That copy is checked and then
+    written to ``path`` as the last step.
     """
-    df.write.mode(mode).parquet(path)
-    if df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
+    fresh = written(df, "sequences")
+    if fresh.isEmpty():
         raise ValueError("no page was encoded")
+    fresh.write.mode(mode).parquet(path)
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Pairs with label and predicted score as CSV with header."""
+    """Pairs with label and predicted score as CSV with header. White space at the ends of texts stays."""
     columns = ["text_a", "text_b", "label", "predicted_score"]
-    df.select(*columns).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(*columns).write.mode(mode).options(**whole).option("header", True).option("escape", '"').csv(path)
 
 
 def write_results(

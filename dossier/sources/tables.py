@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.operators.skew import running_before
@@ -61,9 +61,9 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_labeled_flat(spark: SparkSession, path: str) -> DataFrame:
-    """Token rows of a JSON array, with ``pos`` for their order in the file."""
+    """Token rows of JSON arrays, with ``pos`` for their order in the files, by path."""
     rows = spark.read.schema(FLAT_TOKENS).option("multiLine", True).json(path)
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    return with_file_index(rows, "pos").select(*rows.columns, "pos")
 
 
 def read_labeled_nested(spark: SparkSession, path: str) -> DataFrame:
@@ -76,21 +76,22 @@ def read_labeled_nested(spark: SparkSession, path: str) -> DataFrame:
 def with_file_index(df: DataFrame, out: str = "id") -> DataFrame:
     """Contiguous 0-based number of each row in file order. ``df`` must scan files.
 
-    Rows are numbered inside each file split; the splits' row counts give the start
-    of each. One task orders the list of splits, none the rows.
+    Spark's running number of a row rises by one inside a split, so a row's place in its
+    split is its number less the smallest one. Only the splits' counts and smallest
+    numbers are shuffled; one task orders them, and they are joined back by a broadcast
+    of one narrow row per split. Plain scans number rows alike each time they run.
     """
     split = ["_path", "_block"]
     rows = df.select(
         "*", F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"),
     )
-    counts = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_n")).withColumn("_split", F.struct(*split))
-    starts = running_before(counts, "_split", "_n", "_start").select(*split, "_start")
-    inside = F.row_number().over(Window.partitionBy(*split).orderBy("_row"))
-    return (
-        rows.withColumn("_inside", inside).join(starts, split)
-        .withColumn(out, F.col("_start") + F.col("_inside") - 1).select(out, *df.columns)
-    )
+    counts = rows.groupBy(*split).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")
+    ).withColumn("_split", F.struct(*split))
+    starts = running_before(counts, "_split", "_n", "_start").select(*split, "_start", "_first")
+    return rows.join(F.broadcast(starts), split).withColumn(
+        out, F.col("_start") + F.col("_row") - F.col("_first")).select(out, *df.columns)
 
 
 def read_instructions(spark: SparkSession, path: str) -> DataFrame:
