@@ -199,3 +199,40 @@ def test_echoed_prompt(spark):
     echo = lambda model, prompt: prompt
     assert inference.score_records(record, lambda: None, echo).head().pred_score == 1.0
     assert inference.score_records(record, lambda: None, echo, criteria=False).head().pred_score is None
+
+
+def test_batch_infer_keeps_whole_numbers(spark):
+    """Numbers beyond 2**53 stay exact beside nulls and failures; only the named columns reach Python."""
+    big = 2**53 + 1
+    df = spark.createDataFrame([(1, big, "a"), (2, None, "b"), (3, big + 2, "c")], "k int, id bigint, t string").coalesce(1)
+
+    def answer(model, record):
+        assert set(record) == {"id", "t"}
+        if record["t"] == "c":
+            raise ValueError("c")
+        return record["id"]
+
+    done = inference.batch_infer(df, ["id", "t"], lambda: None, answer, "bigint", keep=["k", "id"])
+    assert done.columns == ["k", "id", "value", "error"]
+    rows = [tuple(r) for r in done.orderBy("k").collect()]
+    assert rows == [(1, big, big, None), (2, None, None, None), (3, big + 2, None, "ValueError: c")]
+    strict = inference.batch_infer(df, ["id", "t"], lambda: None, answer, "bigint", errors=(KeyError,))
+    with pytest.raises(Exception, match="ValueError"):
+        strict.collect()
+
+
+def test_failed_write_leaves_sequences_alone(spark, tmp_path):
+    df = spark.createDataFrame([([1, 2],)], "input_ids array<int>")
+    sinks.write_sequences(df, str(tmp_path / "s"))
+    with pytest.raises(ValueError):
+        sinks.write_sequences(df.limit(0), str(tmp_path / "s"))
+    assert tables.read_sequences(spark, str(tmp_path / "s")).count() == 1
+
+
+def test_flat_tokens_of_several_files_are_in_file_order(spark, tmp_path):
+    for name, n in (("a", 2), ("b", 50), ("c", 3)):
+        rows = [{"file_name": name, "text": f"{name}{i}", "bbox": [], "label": "O"} for i in range(n)]
+        put(tmp_path / f"{name}.json", json.dumps(rows))
+    rows = tables.read_labeled_flat(spark, str(tmp_path)).orderBy("pos").collect()
+    assert [r.pos for r in rows] == list(range(55))
+    assert [r.text for r in rows] == [f"{f}{i}" for f, n in (("a", 2), ("b", 50), ("c", 3)) for i in range(n)]

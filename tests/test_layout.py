@@ -5,16 +5,30 @@ from dossier.functions import layout, metrics, privacy
 from dossier.operators import grouping
 
 
-@pytest.mark.parametrize("box", [
-    [10.0, 20.0, 30.0, 40.0], [-5.0, 0.0, 900.0, 2000.0], [1e18, -1e18, 99.99, 0.3], [1.0, 2.0] * 4,
+@pytest.mark.parametrize("box, want", [
+    ([10.0, 20.0, 30.0, 40.0], [33, 28, 100, 57]),
+    ([-5.0, 0.0, 900.0, 2000.0], [0, 0, 1000, 1000]),
+    ([1e18, -1e18, 99.99, 0.3], [1000, 0, 333, 0]),
+    ([1.0, 2.0, 299.0, 699.0, 300.0, 700.0, 150.0, 350.0], [3, 2, 996, 998, 1000, 1000, 500, 500]),
 ])
-def test_norm_box(value, box):
-    w, h = 300, 700
-    want = [max(0, min(1000, int(1000 * (c / (h if i % 2 else w))))) for i, c in enumerate(box)]
-    got = value(layout.norm_box, box, w, h, types=["array<double>", "int", "int"])
+def test_norm_box(value, box, want):
+    """Expected by hand for a page of 300 by 700."""
+    got = value(layout.norm_box, box, 300, 700, types=["array<double>", "int", "int"])
     assert got == want
 
 
+def test_envelope(value):
+    polygon = [4.0, 2.0, 1.0, 3.0, 2.0, 7.0, 3.0, -1.0]
+    assert value(layout.envelope, polygon, types=["array<double>"]) == [1.0, -1.0, 4.0, 7.0]
+
+
+@pytest.mark.parametrize("n", range(12, 41))
+def test_no_digit_of_a_long_number_survives(value, n):
+    digits = ("9876543210" * 4)[:n]
+    got = value(lambda t, k: privacy.scrub_pii(t, k), f"no {digits}.", 7, types=["string", "int"])
+    assert got.startswith("no #") and got.endswith(".") and len(got) == len("no #12345678.")
+
+
 def test_zero_page(value, spark):
     assert value(layout.norm_box, [1.0, 2.0], 0, 5, types=["array<double>", "int", "int"]) is None
     pages = spark.createDataFrame([(1, [1.0, 2.0], 0, 5), (2, [1.0, 2.0], 4, 5)], "k int, b array<double>, w int, h int")

@@ -22,24 +22,42 @@ def correlation(a, b):
 
 # --- shared building blocks -------------------------------------------------------
 
-@pytest.mark.parametrize("hot", [0, 2, 256])
-@pytest.mark.parametrize("size, rows", [(None, 0), ("n", 0), ("n", 1000)])
-def test_attach_is_a_join(spark, monkeypatch, hot, size, rows):
-    monkeypatch.setattr(skew, "HOT_KEYS", hot)
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", rows)
-    draw = random.Random(hot)
-    keys = ["hot" if draw.random() < 0.4 else f"k{draw.randrange(9)}" for _ in range(200)] + [None]
-    facts = spark.createDataFrame(list(enumerate(keys)), "id int, k string")
-    dim = spark.createDataFrame([("hot", 80, None)] + [(f"k{i}", 10, i) for i in range(5)], "k string, n int, v int")
-    got = skew.attach(facts, dim, ["k"], size=size)
-    assert got.columns == ["id", "k", "n", "v"]
-    known = {"hot": None, **{f"k{i}": i for i in range(5)}}
-    want = sorted((i, k, known[k]) for i, k in enumerate(keys) if k in known)
-    assert sorted((r.id, r.k, r.v) for r in got.collect()) == want
-    left = skew.attach(facts, dim, ["k"], "left", size)
-    assert left.count() == len(keys)
-    with pytest.raises(ValueError):
-        skew.attach(facts, dim, ["k"], "outer")
+@pytest.mark.parametrize("parts", [1, 4, 50])
+def test_attach_is_a_join(spark, parts):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        draw = random.Random(parts)
+        keys = ["hot" if draw.random() < 0.4 else f"k{draw.randrange(9)}" for _ in range(200)] + [None, None]
+        facts = spark.createDataFrame(list(enumerate(keys)), "id int, k string")
+        dim = spark.createDataFrame([("hot", 80, None)] + [(f"k{i}", 10, i) for i in range(5)], "k string, n int, v int")
+        got = skew.attach(facts, dim, ["k"])
+        assert got.columns == ["id", "k", "n", "v"]
+        known = {"hot": None, **{f"k{i}": i for i in range(5)}}
+        want = sorted((i, k, known[k]) for i, k in enumerate(keys) if k in known)
+        assert sorted((r.id, r.k, r.v) for r in got.collect()) == want
+        left = {r.id: (r.n, r.v) for r in skew.attach(facts, dim, ["k"], "left").collect()}
+        sizes = {"hot": 80, **{f"k{i}": 10 for i in range(5)}}
+        assert left == {i: (sizes.get(k), known.get(k)) for i, k in enumerate(keys)}
+        with pytest.raises(ValueError):
+            skew.attach(facts, dim, ["k"], "outer")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_attach_spreads_equal_rows(spark):
+    """Without adaptive execution, equal rows of a hot key stay in the partitions they came from."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.range(0, 40_000, 1, 8).select(F.lit("same").alias("k"), F.lit(1).alias("x"))
+        dim = spark.createDataFrame([("same", 1), ("other", 2)], "k string, v int")
+        sizes = skew.attach(facts, dim, ["k"]).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 40_000 and max(r["count"] for r in sizes) <= 5_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_with_index(spark):

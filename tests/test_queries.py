@@ -30,7 +30,7 @@ def test_against_sql(spark, con, name):
 
 def test_contract(spark):
     without = set(contract.queries()) - set(contract.oracle_sql())
-    assert {n for n in without if not n.startswith(("op", "pipeline"))} == {"q32_pair_model", "q33_field_tagger"}
+    assert {n for n in without if not n.startswith(("op", "pipeline"))} == set()
     assert contract.entry(spark).count() > 0
 
 
@@ -47,5 +47,6 @@ def test_plans(spark):
     assert "ReusedExchange" in plan_of(chunks)
     assert "ReadSchema: struct<doc_id:bigint>" in plan_of(queries["q11_split_exact"](spark, SF_DIR))
     assert "text" not in plan_of(queries["q19_topk_minmax"](spark, SF_DIR)).split("ReadSchema: ")[1].split(">")[0]
+    assert plan_of(queries["q35_batch_infer"](spark, SF_DIR)).count("MapInArrow") == 1
     assert "TakeOrderedAndProject" in plan_of(queries["q29b_sample_source"](spark, SF_DIR))
     assert "PushedFilters: [IsNotNull(source), EqualTo(source,src0)]" in plan_of(queries["q29b_sample_source"](spark, SF_DIR))

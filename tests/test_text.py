@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from dossier.functions import text
 
 
-def python_numbers(s):
-    found = [float(m) for m in re.findall(r"[0-9]+\.?[0-9]*", s)]
-    inside = [x for x in found if 0 <= x <= 1]
-    return inside[-1] if inside else None
+def scanned_number(s):
+    """The last number in 0..1, found by walking through the characters."""
+    last, digits = None, ""
+    for c in s + " ":
+        if c in "0123456789" or (c == "." and digits and "." not in digits):
+            digits += c
+            continue
+        if digits and float(digits) <= 1:
+            last = float(digits)
+        digits = ""
+    return last
 
 
 @pytest.mark.parametrize("s, want", [
@@ -19,7 +26,7 @@ def python_numbers(s):
     ("only 2", None), ("５", None), ("0.25 and 7.5", 0.25), ("", None), ("1.0", 1.0),
 ])
 def test_last_unit_number(value, s, want):
-    assert value(text.last_unit_number, s) == want == python_numbers(s)
+    assert value(text.last_unit_number, s) == want == scanned_number(s)
 
 
 def test_last_unit_number_random(spark):
@@ -27,7 +34,7 @@ def test_last_unit_number_random(spark):
     texts = ["".join(draw.choice("01.9 a-%") for _ in range(draw.randint(0, 12))) for _ in range(300)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r["v"] for r in df.select(text.last_unit_number(F.col("t")).alias("v")).collect()]
-    assert got == [python_numbers(t) for t in texts]
+    assert got == [scanned_number(t) for t in texts]
 
 
 @pytest.mark.parametrize("s, want", [
@@ -59,7 +66,7 @@ def test_render_prompt(value):
     assert "岗位描述: the job\n        简历: my résumé %s {x}\n" in full
     assert '{\n  "score": float,\n  "reason": string\n}' in full
     short = value(lambda a, b: text.render_prompt(a, b, criteria=False), "r", "j")
-    assert python_numbers(short) is None and python_numbers(full) == 1.0
+    assert scanned_number(short) is None and scanned_number(full) == 1.0
 
 
 def second_segment(s):
