@@ -13,8 +13,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from dossier.plans.queries import QUERIES  # noqa: E402
-from dossier.session import build_session  # noqa: E402
+from dossier.plans import queries, round_trips  # noqa: E402
+from dossier.session import build_session, remove_work  # noqa: E402
+
+
+QUERIES = queries.QUERIES | round_trips.QUERIES
 
 
 def main() -> None:
@@ -41,6 +44,7 @@ def main() -> None:
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")),
     }))
+    remove_work(spark)
     spark.stop()
 
 

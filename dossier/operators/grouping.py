@@ -35,7 +35,8 @@ def encode_pages(
 
     ``pads`` maps each column to its fill value. Cutting at ``n`` is part of the
     encoding; Spark applies it before the shuffle (WindowGroupLimit), so a long page
-    sends at most ``n`` tokens per task. Adds ``attention_mask``.
+    sends at most ``n`` tokens per task. That holds for ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set). Adds ``attention_mask``.
     """
     columns = list(pads)
     order = Window.partitionBy(key).orderBy(pos)

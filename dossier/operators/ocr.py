@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.text import first_int, pct, py_strip, py_words
-from dossier.operators.skew import attach
+from dossier.operators.skew import attach, known
 
 # Texts up to this length are compared by the built-in function, longer ones bit-parallel.
 SHORT_TEXT = 128
@@ -91,9 +91,11 @@ def assemble_text(files: DataFrame, lines: DataFrame, file: str = "file") -> Dat
 
     Returns ``file``, ``ocr_text``, ``avg_conf`` and ``n_lines``. Files without lines
     get an empty text and confidence 0. Pages are put together first, so a long
-    document is spread over its pages and only page texts meet in one place.
+    document is spread over its pages and only page texts meet in one place. Lines without
+    file or page belong to no text and drop out first, so no garbage key gathers them.
     """
-    pages = lines.groupBy(file, "page").agg(
+    placed = known(lines, [file, "page"]).filter(F.col(file) != "")
+    pages = placed.groupBy(file, "page").agg(
         F.array_sort(F.collect_list(F.struct("line", py_strip(F.col("text")).alias("t")))).alias("_lines"),
         F.sum("conf").alias("_conf"), F.count("conf").alias("_n"),
     ).select(file, "page", "_conf", "_n", F.array_join("_lines.t", " ").alias("_page_text"))

@@ -36,7 +36,8 @@ def minmax_by_group(df: DataFrame, group: str, score: str, out: str = "normalize
 def top_k_by_group(df: DataFrame, group: str, score: str, tie: str, k: int = TOP_K, out: str = "rank") -> DataFrame:
     """The ``k`` best rows of each group, ties by ascending ``tie``.
 
-    Spark limits each group to ``k`` rows before the shuffle (WindowGroupLimit).
+    Spark limits each group to ``k`` rows before the shuffle (WindowGroupLimit), for ``k`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set). Raise that for more.
     """
     w = Window.partitionBy(group).orderBy(F.desc(score), F.asc(tie))
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)

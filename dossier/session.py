@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: dict[str, list[str]] = {}
+
 
 def build_session(app: str = "dossier", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators rely on.
@@ -44,7 +46,19 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dossier-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_work(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has made, once no frame needs them. Returns how many."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -236,3 +236,15 @@ def test_flat_tokens_of_several_files_are_in_file_order(spark, tmp_path):
     rows = tables.read_labeled_flat(spark, str(tmp_path)).orderBy("pos").collect()
     assert [r.pos for r in rows] == list(range(55))
     assert [r.text for r in rows] == [f"{f}{i}" for f, n in (("a", 2), ("b", 50), ("c", 3)) for i in range(n)]
+
+
+def test_remove_work(spark):
+    table = session.written(spark.range(3), "trial")
+    path = session._made[spark.sparkContext.applicationId][-1]
+    assert table.count() == 3 and os.path.isdir(path)
+    kept = session._made[spark.sparkContext.applicationId][:-1]
+    session._made[spark.sparkContext.applicationId] = [path]
+    try:
+        assert session.remove_work(spark) == 1 and not os.path.exists(path)
+    finally:
+        session._made[spark.sparkContext.applicationId] = kept
