@@ -99,4 +99,43 @@ QUERIES = {
     "op10_subspace_join": op10_subspace_join,
 }
 
-ORACLE: dict[str, str] = {}
+def _reachable(links: str) -> str:
+    """Smallest id reachable over symmetric links (x, y), in common table expressions."""
+    return f"""links AS ({links}),
+        reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+        roots AS (SELECT x, least(x, min(y)) AS root FROM reach GROUP BY x)"""
+
+
+_DIGIT_BITS = " ".join(f"WHEN '{i:x}' THEN '{i:04b}'" for i in range(16))
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+ORACLE: dict[str, str] = {
+    "op1_jaccard_join": f"""WITH RECURSIVE words AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+          FROM documents),
+        sets AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        {_reachable("""SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+          WHERE 100 * i >= 90 * (a.n + b.n - i)""")}
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc_id) AS component_id
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON x = doc_id""",
+    "op5_warc_bundles": f"""WITH hashed AS (
+          SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last,
+                 array_to_string(list_transform(string_split(sha1(coalesce(html, '')), ''), lambda c: CASE c {_DIGIT_BITS} END), '') AS bits
+          FROM pages)
+        SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('{_BASE32}', 1 + 16 * substr(bits, 5 * i + 1, 1)::INT
+                 + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT + 2 * substr(bits, 5 * i + 4, 1)::INT
+                 + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to FROM hashed""",
+    "op10_subspace_join": f"""WITH RECURSIVE {_reachable("""SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b
+          ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9""")},
+        degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN roots ON roots.x = vec_id LEFT JOIN degrees ON degrees.x = vec_id""",
+}
