@@ -208,7 +208,8 @@ def write_bundles(pages: DataFrame, folder: str | None = None, key: str = "page_
         if writer.index:
             yield close()
 
-    done = decided.mapInArrow(run, "path string, records long")
+    # In a fixed order a repeated task writes the same bundles again.
+    done = decided.sortWithinPartitions("k", "u", "p").mapInArrow(run, "path string, records long")
     done.write.parquet(f"{folder}-manifest")
     return folder
 
