@@ -18,9 +18,11 @@ kept, each as a document of its own.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +36,11 @@ from dossier.llm.common import work_dir, write_file
 MAGIC = b"DACIDS01"
 CHUNK_BITS = 8
 BLOCK = 512
-CACHE_ROWS = 500_000
+CACHE_ROWS = 250_000
 #: A shard is closed after this many ids, so files stay below about 40 MB.
 SHARD_IDS = 16_000_000
+#: Letters that have one small form and are never part of a combination, and marks that are no apostrophe.
+SHAPE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?|#$%&*()\"]*)")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _bits_of = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint32)
 
@@ -142,32 +146,69 @@ class CachedTokenizer:
 
     The vocabulary drops white space before it cuts words, so a text's ids are those of
     its parts in a row. Texts with one of the four separators that Python and the
-    library treat differently are encoded whole.
+    library treat differently are encoded whole. The vocabulary also ignores case and
+    never joins letters with what follows them, so a part of common letters and trailing
+    punctuation has the ids of its small letters and of its punctuation. Both kinds of
+    cache have two generations; the older one goes when the newer is full.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.library = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.cores: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
-    def _pack(self, encoding) -> bytes:
-        return np.array(encoding.ids, dtype="<u4").tobytes()
+    def _library(self, words: list[str], into: dict[str, bytes]) -> None:
+        for at in range(0, len(words), 4096):
+            some = words[at:at + 4096]
+            for word, coded in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                into[word] = array("I", coded.ids).tobytes()
+
+    def _fill(self, wanted: list[str]) -> None:
+        """Put all wanted parts into the newer generation."""
+        words, older = self.words
+        cores, old_cores = self.cores
+        shapes, plain, parts = [], [], set()
+        for word in wanted:
+            got = older.get(word)
+            if got is not None:
+                words[word] = got
+                continue
+            m = SHAPE.fullmatch(word)
+            if m:
+                letters, mark = m.groups()
+                letters = letters.lower()
+                shapes.append((word, letters, mark))
+                parts.add(letters)
+                parts.add(mark)
+            else:
+                plain.append(word)
+        new = []
+        for part in parts:
+            if part not in cores:
+                if part in old_cores:
+                    cores[part] = old_cores[part]
+                else:
+                    new.append(part)
+        self._library(new, cores)
+        for word, letters, mark in shapes:
+            words[word] = cores[letters] + cores[mark]
+        self._library(plain, words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [[t] if _ODD_SPACE.search(t) else t.split() for t in texts]
-        got, missing = self.cache, []
-        wanted = set().union(*parts)
-        missing = [w for w in wanted if w not in got]
-        if len(got) + len(missing) > CACHE_ROWS:
-            got = self.cache = {}
-            missing = list(wanted)
-        for at in range(0, len(missing), 4096):
-            some = missing[at:at + 4096]
-            for word, coded in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                got[word] = self._pack(coded)
+        if len(self.words[0]) > CACHE_ROWS:
+            self.words = ({}, self.words[0])
+        if len(self.cores[0]) > CACHE_ROWS:
+            self.cores = ({}, self.cores[0])
+        got = self.words[0]
+        missing = [w for w in set().union(*parts) if w not in got]
+        self._fill(missing)
         out = [b"".join([got[w] for w in words]) for words in parts]
         for word in missing:
-            if len(word) > 256:
+            if len(word) > 64:
                 del got[word]
+                self.cores[0].pop(word, None)
         return out
 
 
