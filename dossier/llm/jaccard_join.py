@@ -6,10 +6,10 @@ document with the smallest key reachable by links.
 
 1. Documents with equal sets are one class; its smallest key stands for it. Sets too
    small to differ from a linked one stop here.
-2. Elimination: if x links with y, at most ``slack(x)`` of x's tokens are missing in y. Of
-   the tokens in a fixed part of the hash space, x therefore shares all but that many
-   with others. Documents that share fewer can have no link and drop out, before most
-   tokens were ever shuffled.
+2. Elimination: if x links with y, at most ``slack(x)`` of x's tokens are missing in y. So
+   at most that many of its tokens in a fixed part of the hash space occur in no other set.
+   Documents with more of them can have no link and drop out, before most tokens were
+   ever shuffled.
 3. The tokens left are ordered from rare to frequent. Rare ones (at most ``RARE`` documents)
    are indexed singly. For frequent classes the prefix is extended and k-token
    combinations are indexed: a class that gives n tokens to the prefix guards against
@@ -63,8 +63,11 @@ def slack(n: int, least: int, of: int) -> int:
     return n - -(-n * least // of)
 
 
-def token_sets(df: DataFrame, key: str, text: str, width: int, share: int | None = None) -> DataFrame:
-    """doc_id, n, a 128-bit key of the set, and its tokens (those below 1/``share`` of the hash space if given)."""
+def token_sets(df: DataFrame, key: str, text: str, width: int, share: int | None = None, only: str | None = None) -> DataFrame:
+    """doc_id, n, a 128-bit key of the set, and its tokens (those below 1/``share`` of the hash space if given).
+
+    ``only`` names a column with the set key that a row must have to stay.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = np.uint64(2**64 // share) if share and share > 1 else None
@@ -72,16 +75,19 @@ def token_sets(df: DataFrame, key: str, text: str, width: int, share: int | None
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets = [shingles(raw, width) for raw in text_bytes(part.column(1))]
-                keys = [(int(np.bitwise_xor.reduce(s)) << 64 | int(np.add.reduce(mix(s * BASE)))) if len(s) else 0 for s in sets]
+                pairs = [(int(np.bitwise_xor.reduce(s)) << 64 | int(np.add.reduce(mix(s * BASE)))) if len(s) else 0 for s in sets]
+                keys = [f"{len(s):x}-{k:032x}" for s, k in zip(sets, pairs)]
                 kept = sets if limit is None else [s[:np.searchsorted(s, limit)] for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([f"{len(s):x}-{k:032x}" for s, k in zip(sets, keys)]),
+                out = pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.string()),
                      pa.array([s.view(np.int64) for s in kept], pa.list_(pa.int64()))],
                     ["doc_id", "n", "set_key", "tokens"])
+                if only:
+                    out = out.filter(pa.array([k == w for k, w in zip(keys, part.column(2).to_pylist())]))
+                yield out
 
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(
-        run, "doc_id long, n long, set_key string, tokens array<long>")
+    columns = [F.col(key).cast("long").alias("doc_id"), F.col(text), *([F.col(only)] if only else [])]
+    return df.select(*columns).mapInArrow(run, "doc_id long, n long, set_key string, tokens array<long>")
 
 
 def signatures(pairs: list[tuple[int, int]], alone: int, n: int, least: int, of: int,
@@ -128,7 +134,8 @@ def _index(ranked: DataFrame, least: int, of: int) -> DataFrame:
                 part = batch.slice(at, 256).to_pydict()
                 entries, docs = [], []
                 for doc, n, ranked_tokens in zip(part["doc_id"], part["n"], part["ranked"]):
-                    got = signatures([(r["df"], r["token"]) for r in ranked_tokens], n - len(ranked_tokens), n, least, of)
+                    pairs = {(r["df"], r["token"]) for r in ranked_tokens}  # of a repeated row the tokens come twice
+                    got = signatures(list(pairs), n - len(pairs), n, least, of)
                     entries += got
                     docs += [doc] * len(got)
                 yield pa.RecordBatch.from_arrays([pa.array(entries, pa.int64()), pa.array(docs, pa.int64())], ["entry", "doc_id"])
@@ -212,39 +219,37 @@ def _verified(members: DataFrame, sets: DataFrame, least: int, of: int) -> DataF
 
 def similar(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: int = 80, of: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_id (smallest key with an equal set)."""
-    share = max(1, int(of / (2.5 * (of - least))))
+    share = -(-of // (2 * (of - least)))  # a part of the hash space that holds about twice the slack
     source = df.select(F.col(key).cast("long").alias("_k"), F.col(text).alias("_t")).filter("_k is not null")
     # One scan gives all documents' set keys and the tokens in the fixed part of the hash space.
     probe = written(token_sets(source, "_k", "_t", width, share), "probe")
     smallest = -(-least // (of - least))  # a set that links with a different one has so many tokens at least
-    classes = written(probe.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "classes")
-    roots = classes.groupBy(F.col("class_id").alias("doc_id")).agg(F.min("set_key").alias("set_key"))
-    first = written(
-        probe.filter(F.col("n") >= smallest).join(roots, ["doc_id", "set_key"], "left_semi"), "roots")
-
-    # 2. elimination
-    spread = first.select("doc_id", F.explode("tokens").alias("token"))
-    shared = written(spread.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token"), "shared")
-    matched = spread.join(shared, "token").groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
+    classes = written(probe.filter("n > 0").groupBy("set_key", "n").agg(F.min("doc_id").alias("class_id")), "classes")
+
+    # 2. elimination: a token of one set alone is missing in every other; too many of them leave no link
+    set_id = F.xxhash64("set_key").alias("set_id")
+    owners = probe.filter(F.col("n") >= smallest).select(set_id, F.explode("tokens").alias("token"))
+    owners = owners.groupBy("token").agg(F.min("set_id").alias("set_id"), F.max("set_id").alias("other"))
+    single = written(owners.filter("set_id = other").groupBy("set_id").agg(F.count(F.lit(1)).alias("single")), "single")
     spare = F.col("n") - F.ceil(F.col("n") * least / of)
     alive = written(
-        first.select("doc_id", "set_key", "n", F.size("tokens").alias("probed")).join(matched, "doc_id", "left")
-        .filter(F.coalesce("hits", F.lit(0)) >= F.col("probed") - spare).select("doc_id", "set_key").distinct(), "alive")
+        classes.filter(F.col("n") >= smallest).withColumn("set_id", F.xxhash64("set_key")).join(single, "set_id", "left")
+        .filter(F.coalesce("single", F.lit(0)) <= spare)
+        .groupBy(F.col("class_id").alias("_k")).agg(F.min("set_key").alias("_set")), "alive")
 
     # 3. index of the documents left
-    texts = source.join(alive.select(F.col("doc_id").alias("_k")), "_k", "left_semi")
-    sets = written(token_sets(texts, "_k", "_t", width).join(alive, ["doc_id", "set_key"], "left_semi")
-                   .dropDuplicates(["doc_id"]).select("doc_id", "n", "tokens"), "sets")
+    texts = source.join(alive, "_k")
+    sets = written(token_sets(texts, "_k", "_t", width, only="_set").select("doc_id", "n", "tokens"), "sets")
     spread = sets.select("doc_id", "n", F.explode("tokens").alias("token"))
     counts = written(spread.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "counts")
     ranked = spread.join(counts, "token").groupBy("doc_id", "n").agg(F.collect_list(F.struct("df", "token")).alias("ranked"))
     index = written(_index(ranked, least, of), "index")
-    hubs = written(index.groupBy("entry").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1").select("entry", "hub"), "hubs")
+    hubs = written(index.groupBy("entry").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last").select("entry", "hub"), "hubs")
     candidates = written(index.join(hubs, "entry").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).filter("a <> b").distinct(), "candidates")
 
     # 4. exact test inside candidate groups, 5. components of the links
     groups = components(candidates)
-    members = sets.select("doc_id", "n").join(groups.select(F.col("node").alias("doc_id"), F.col("root").alias("grp")), "doc_id")
+    members = sets.select("doc_id", "n").distinct().join(groups.select(F.col("node").alias("doc_id"), F.col("root").alias("grp")), "doc_id")
     linked = components(written(_verified(members, sets, least, of), "links"))
 
     final = written(classes.join(linked.select(F.col("node").alias("class_id"), "root"), "class_id", "left")
