@@ -24,6 +24,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,12 @@ from dossier.llm.common import work_dir, write_file
 MAGIC = b"DACIDS01"
 CHUNK_BITS = 8
 BLOCK = 512
-CACHE_ROWS = 250_000
+CACHE_ROWS = 500_000
 #: A shard is closed after this many ids, so files stay below about 40 MB.
 SHARD_IDS = 16_000_000
 #: Letters that have one small form and are never part of a combination, and marks that are no apostrophe.
-SHAPE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+)([.,;:!?|#$%&*()\"]*)")
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+")
+MARKS = '.,;:!?|#$%&*()"'
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _bits_of = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint32)
 
@@ -148,15 +150,15 @@ class CachedTokenizer:
     its parts in a row. Texts with one of the four separators that Python and the
     library treat differently are encoded whole. The vocabulary also ignores case and
     never joins letters with what follows them, so a part of common letters and trailing
-    punctuation has the ids of its small letters and of its punctuation. Both kinds of
-    cache have two generations; the older one goes when the newer is full.
+    punctuation has the ids of its small letters and of its punctuation. When a cache
+    is full, its older half goes.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.library = Tokenizer.from_file(path)
-        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.cores: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.words: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
 
     def _library(self, words: list[str], into: dict[str, bytes]) -> None:
         for at in range(0, len(words), 4096):
@@ -165,50 +167,41 @@ class CachedTokenizer:
                 into[word] = array("I", coded.ids).tobytes()
 
     def _fill(self, wanted: list[str]) -> None:
-        """Put all wanted parts into the newer generation."""
-        words, older = self.words
-        cores, old_cores = self.cores
-        shapes, plain, parts = [], [], set()
+        """Add the parts to the cache."""
+        words, cores = self.words, self.cores
+        shapes, plain, new = [], [], set()
         for word in wanted:
-            got = older.get(word)
-            if got is not None:
-                words[word] = got
-                continue
-            m = SHAPE.fullmatch(word)
-            if m:
-                letters, mark = m.groups()
+            letters = word.rstrip(MARKS)
+            if letters and (letters.isascii() and letters.isalpha() or LETTERS.fullmatch(letters)):
+                mark = word[len(letters):]
                 letters = letters.lower()
                 shapes.append((word, letters, mark))
-                parts.add(letters)
-                parts.add(mark)
+                if letters not in cores:
+                    new.add(letters)
+                if mark not in cores:
+                    new.add(mark)
             else:
                 plain.append(word)
-        new = []
-        for part in parts:
-            if part not in cores:
-                if part in old_cores:
-                    cores[part] = old_cores[part]
-                else:
-                    new.append(part)
-        self._library(new, cores)
+        self._library(list(new), cores)
         for word, letters, mark in shapes:
             words[word] = cores[letters] + cores[mark]
         self._library(plain, words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [[t] if _ODD_SPACE.search(t) else t.split() for t in texts]
-        if len(self.words[0]) > CACHE_ROWS:
-            self.words = ({}, self.words[0])
-        if len(self.cores[0]) > CACHE_ROWS:
-            self.cores = ({}, self.cores[0])
-        got = self.words[0]
+        for cache in (self.words, self.cores):
+            if len(cache) > CACHE_ROWS:
+                for old in list(islice(cache, CACHE_ROWS // 2)):
+                    del cache[old]
+        got = self.words
         missing = [w for w in set().union(*parts) if w not in got]
         self._fill(missing)
-        out = [b"".join([got[w] for w in words]) for words in parts]
+        find = got.__getitem__
+        out = [b"".join(map(find, words)) for words in parts]
         for word in missing:
             if len(word) > 64:
                 del got[word]
-                self.cores[0].pop(word, None)
+                self.cores.pop(word.rstrip(MARKS).lower(), None)
         return out
 
 
@@ -296,10 +289,14 @@ def read_ids(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
                 file = Shard(content.as_py())
                 for at in range(0, len(file.doc_ids), 256):
                     some = range(at, min(at + 256, len(file.doc_ids)))
+                    # One read for the documents' whole range, which is then cut.
+                    first = int(file.starts[at])
+                    ids = file.codes.slice(first, int(file.starts[some.stop])).astype("<u4").tobytes()
+                    cuts = ((file.starts[at:some.stop + 1] - first) * 4).tolist()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([shard] * len(some), pa.int64()), pa.array([file.doc_ids[i] for i in some], pa.int64()),
                          pa.array(file.starts[some.start:some.stop]), pa.array(file.lengths[some.start:some.stop]),
-                         pa.array([file.document(i).astype("<u4").tobytes() for i in some], pa.binary())],
+                         pa.array([ids[x:y] for x, y in zip(cuts, cuts[1:])], pa.binary())],
                         ["shard", key, "local", "n_tokens", "ids"])
 
     rows = files.select(number.alias("shard"), "content").mapInArrow(
