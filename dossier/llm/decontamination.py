@@ -8,8 +8,13 @@ that continue each other are compared: equal values of the item must stand for e
 values in the text and different ones for different ones. A text is contaminated if its
 slots are consistent, or a window repeats the item's own values.
 
-Items shorter than a window are matched as a whole, from ``LEAST`` words on. A window needs
-at least half its words outside slots. Items with equal words are one item, the smallest
+A template window needs at least half its words outside slots, a template shorter than a window
+``LEAST`` words. Whatever these rules drop is matched by its own lower-cased words: every window
+has a second hash, of the words with their values, joined in the same join. Items shorter than a
+window are matched as a whole; those of fewer than ``EXACT_LEAST`` words, which occur in any text
+by chance, where they are a whole line. Characters of scripts without spaces are words of their
+own; of an item that consists mostly of them, twice as many count as a window, as ``LEAST`` and as
+``EXACT_LEAST``. Items with equal words are one item, the smallest
 id. Null and empty texts and items match nothing; a null doc_id is kept in the result
 when its text matches, as one more document. Repeated rows of a doc_id count as one document.
 """
@@ -23,6 +28,9 @@ from dossier.llm.common import fresh, written
 
 WINDOW = 8
 LEAST = 5
+EXACT_LEAST = 3
+#: Characters of scripts that are written without spaces (Thai, Lao, Burmese, Khmer, kana, Han).
+UNSPACED = "[\u0e00-\U0003ffff&&[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]]"
 #: Units of measure, as they follow a number.
 UNITS = ("kilometers kilometres meters metres centimeters millimeters miles feet foot inches inch yards km cm mm kg kilograms grams mg lb lbs "
          "pounds tons tonnes liters litres ml gallons hours hour hrs minutes minute min seconds second sec days day weeks week months month years "
@@ -32,6 +40,7 @@ UNITS = ("kilometers kilometres meters metres centimeters millimeters miles feet
 def marked_words(text: Column) -> Column:
     """Words with slots marked: 01, the type (D, N or U), and the value."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01\x02]", " ")
+    t = F.regexp_replace(t, "(" + UNSPACED + ")", " $1 ")
     t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", "\x01N")
     t = F.regexp_replace(t, r"(?<![\x01\p{L}\p{N}])(?=\p{N})", "\x01D")
     t = F.regexp_replace(F.lower(t), r"(\x01d[\p{N}.,:/-]*) ?(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])", "$1 \x01u$2")
@@ -44,24 +53,57 @@ def template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.startswith("\x01"), F.substring(w, 1, 2)).otherwise(w))
 
 
-def window_hashes(words: Column, width: int | Column) -> Column:
-    """Hash of every window; null where too few words are outside slots."""
-    def one(i: Column) -> Column:
-        part = F.slice(words, i, width)
-        slots = F.size(F.filter(part, lambda w: w.startswith("\x01")))
-        return F.when(slots * 2 <= width, F.xxhash64(part))
+def plain(words: Column) -> Column:
+    """The words without marks, slots with their values."""
+    return F.transform(words, lambda w: F.when(w.startswith("\x01"), F.regexp_replace(w, "\x01.", "")).otherwise(w))
 
-    last = F.size(words) - width + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), one)).otherwise(F.array().cast("array<bigint>"))
 
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """One row per window and item: item_id, words (marked), j, width, window."""
+
+def window_hashes(hashes: Column, width: int | Column) -> Column:
+    """Hash of every window of word hashes."""
+    last = F.size(hashes) - width + 1
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(hashes, i, width)))).otherwise(
+        F.array().cast("array<bigint>"))
+
+
+def both_hashes(width: int | Column) -> Column:
+    """Per window the hashes of its template (t) and of its own words (x) from the columns t and x; x is null where both are equal."""
+    return F.zip_with(window_hashes(F.col("t"), width), window_hashes(F.col("x"), width),
+                      lambda t, x: F.struct(t.alias("t"), F.when(t != x, x).alias("x")))
+
+
+def benchmark_items(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
+    """One row per item: item_id, words (marked), scale (2 for scripts without spaces, else 1)."""
     words = items.select(F.col(key).cast("long").alias("item_id"), marked_words(F.col(text)).alias("words"))
-    words = words.groupBy("words").agg(F.min("item_id").alias("item_id")).filter(F.size("words") >= LEAST)
-    width = F.least(F.size("words"), F.lit(WINDOW))
-    rows = words.select("item_id", "words", width.alias("width"), F.posexplode(window_hashes(template(F.col("words")), width)).alias("j", "window"))
-    return rows.filter("window is not null")
+    words = words.groupBy("words").agg(F.min("item_id").alias("item_id")).filter(F.size("words") > 0)
+    single = F.size(F.filter("words", lambda w: w.rlike("^" + UNSPACED + "$")))
+    return words.select("item_id", "words", F.when(single * 2 > F.size("words"), 2).otherwise(1).alias("scale"))
+
+
+def benchmark_windows(words: DataFrame) -> DataFrame:
+    """One row per window hash and item: item_id, words (marked), j, width, window."""
+    words = words.filter(F.size("words") >= EXACT_LEAST * F.col("scale")).withColumns({
+        "width": F.least(F.size("words"), WINDOW * F.col("scale")),
+        "t": word_hashes(template(F.col("words"))), "x": word_hashes(plain(F.col("words")))})
+    rows = words.select("item_id", "words", "width", "scale", F.posexplode(both_hashes(F.col("width"))).alias("j", "w"))
+    slots = F.size(F.filter(F.slice("words", F.col("j") + 1, F.col("width")), lambda w: w.startswith("\x01")))
+    # A window without slots has one hash, which is exact.
+    kept = (slots == 0) | ((slots * 2 <= F.col("width")) & (F.size("words") >= LEAST * F.col("scale")))
+    return rows.select("item_id", "words", "width", "j", F.explode(F.array(F.when(kept, F.col("w.t")), F.col("w.x"))).alias("window")).filter(
+        "window is not null")
+
+
+def line_matches(source: DataFrame, short: DataFrame) -> DataFrame:
+    """Items of too few words that are a whole line of a text; columns as ``matches``."""
+    text = F.array_join(plain(F.col("words")), " ")
+    lines = source.select("doc_id", F.posexplode(F.split("t", "[\n\x0b\f\r\x85\u2028\u2029]+")).alias("at", "line"))
+    lines = lines.select("doc_id", "at", marked_words(F.col("line")).alias("words")).filter(F.size("words") < EXACT_LEAST * 2)
+    short = short.select("item_id", text.alias("line"))
+    return (lines.select("doc_id", "at", text.alias("line")).join(short, "line")
+            .groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("windows"), F.lit(True).alias("same_values")))
 
 
 def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -71,18 +113,22 @@ def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     broadcast, large ones are joined by shuffling hashes. Texts are read again only for the
     slot check of documents with a match.
     """
-    bench = written(benchmark_windows(items), "bench")
+    words = written(benchmark_items(items), "bench-items")
+    bench = written(benchmark_windows(words), "bench")
+    short = words.filter(F.size("words") < EXACT_LEAST * F.col("scale"))
     widths = sorted(r["width"] for r in bench.select("width").distinct().collect())  # at most WINDOW values
     source = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
-    hashed = source.select("doc_id", template(marked_words(F.col("t"))).alias("words"))
-    windows = F.array().cast("array<struct<width:int,window:array<bigint>>>")
+    hashed = source.select("doc_id", marked_words(F.col("t")).alias("words")).select(
+        "doc_id", word_hashes(template(F.col("words"))).alias("t"), word_hashes(plain(F.col("words"))).alias("x"))
+    windows = F.array().cast("array<struct<width:int,window:array<struct<t:bigint,x:bigint>>>>")
     if widths:
-        windows = F.array(*[F.struct(F.lit(w).alias("width"), window_hashes(F.col("words"), w).alias("window")) for w in widths])
+        windows = F.array(*[F.struct(F.lit(w).alias("width"), both_hashes(w).alias("window")) for w in widths])
     exploded = (hashed.select("doc_id", F.explode(windows).alias("w"))
-                .select("doc_id", F.col("w.width").alias("width"), F.posexplode("w.window").alias("i", "window")).filter("window is not null"))
+                .select("doc_id", F.col("w.width").alias("width"), F.posexplode("w.window").alias("i", "w"))
+                .select("doc_id", "width", "i", F.explode(F.array("w.t", "w.x")).alias("window")).filter("window is not null"))
     hits = written(
         exploded.join(bench.select("window", "width", "item_id", "j"), ["window", "width"])
-        .select("doc_id", "item_id", "width", "i", "j"), "hits")
+        .select("doc_id", "item_id", "width", "i", "j").distinct(), "hits")
 
     ids = hits.select(F.col("doc_id").alias("_d")).distinct()
     texts = source.join(ids, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi").select("doc_id", marked_words(F.col("t")).alias("words"))
@@ -94,20 +140,22 @@ def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         .select("doc_id", "item_id", "i", "j", "width", part("words", "i").alias("a"))
         .join(item_words, "item_id")
         .select("doc_id", "item_id", "i", "j", "a", part("item_words", "j").alias("b"))
-        .filter(template(F.col("a")) == template(F.col("b"))))
-    slots = F.filter(F.arrays_zip("a", "b"), lambda p: p["a"].startswith("\x01"))
+        .withColumn("same", plain(F.col("a")) == plain(F.col("b")))
+        .filter((template(F.col("a")) == template(F.col("b"))) | F.col("same")))
+    slots = F.filter(F.arrays_zip("a", "b"), lambda p: p["a"].startswith("\x01") & p["b"].startswith("\x01"))
     # Windows on one diagonal continue each other, so their slots must fit together.
     runs = (
         both.withColumn("slots", slots)
         .groupBy("doc_id", "item_id", (F.col("i") - F.col("j")).alias("shift")).agg(
             F.countDistinct("i").alias("windows"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
-            F.max(F.col("a") == F.col("b")).alias("equal"), F.min(F.col("a") == F.col("b")).alias("same_values")))
+            F.max("same").alias("equal"), F.min("same").alias("same_values")))
     kinds = F.size("slots")
     consistent = ((kinds == F.size(F.array_distinct(F.transform("slots", lambda p: p["a"]))))
                   & (kinds == F.size(F.array_distinct(F.transform("slots", lambda p: p["b"])))))
-    return (
+    found = (
         runs.filter(consistent | F.col("equal"))
         .groupBy("doc_id", "item_id").agg(F.sum("windows").alias("windows"), F.min("same_values").alias("same_values")))
+    return found if short.isEmpty() else found.unionByName(line_matches(source, short))
 
 
 def clean(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -183,3 +183,15 @@ def test_inconsistent_slots_are_no_match(spark):
         [(1, "add 4 and 4 to get 8 then take away 8 and stop"), (2, "add 4 and 5 to get 9 then take away 7 and stop"),
          (3, "add 4 and 4 to get 4 then take away 4 and stop")], "doc_id long, text string")
     assert [r["doc_id"] for r in decontamination.matches(docs, items).collect()] == [1]
+
+
+def test_items_without_a_template_window_are_matched_exactly(spark):
+    items = [(1, "12 34 56 78 90"), (2, "Anna Berta Carla Dora Emma Frida Greta Hanna Ida Jana"), (3, "日本の首都はどこですか"),
+             (4, "who wrote Hamlet"), (5, "Der Hund und die Katze jagen Mäuse, Ratten, Vögel, Hasen, Füchse, Dachse und Rehe im Wald"), (6, "Say cheese")]
+    docs = [(1, "sum of 12 34 56 78 90 please"), (2, "sum of 12 34 56 78 91 please"), (3, "so Anna Berta Carla Dora Emma Frida Greta Hanna Ida Jana"),
+            (4, "質問:日本の首都はどこですか?答え"), (5, "日本の首都は東京です"), (6, "they ask who wrote Hamlet here"), (7, "who wrote Faust"),
+            (8, "dort jagen Mäuse, Ratten, Vögel, Hasen, Füchse, Dachse und Rehe im Wald"), (9, "first\nSay cheese!\nlast"), (10, "they say cheese is good"),
+            (11, "so Adam Bernd Carl Dirk Emil Fritz Georg Hans Ingo Jan")]
+    got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["same_values"] for r in got.collect()} == {
+        (1, 1): True, (3, 2): True, (4, 3): True, (6, 4): True, (8, 5): True, (9, 6): True}
