@@ -195,3 +195,14 @@ def test_items_without_a_template_window_are_matched_exactly(spark):
     got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]): r["same_values"] for r in got.collect()} == {
         (1, 1): True, (3, 2): True, (4, 3): True, (6, 4): True, (8, 5): True, (9, 6): True}
+
+
+def test_coinciding_values_and_single_exceptions_match(spark):
+    items = [(1, "add 3 and 5 to get 8"), (2, "3 apples and 3 pears"),
+             (3, "boxes of 3 hold 7 red balls and 3 blue balls while 7 others hold 9 green balls and 9 more")]
+    docs = [(1, "add 4 and 4 to get 8"), (2, "4 apples and 5 pears"),
+            (3, "boxes of 4 hold 6 red balls and 4 blue balls while 6 others hold 8 green balls and 5 more"),
+            (4, "boxes of 4 hold 6 red balls and 5 blue balls while 2 others hold 8 green balls and 1 more"),
+            (5, "boxes of 4 hold 4 red balls and 4 blue balls while 4 others hold 4 green balls and 4 more")]
+    got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["same_values"] for r in got.collect()} == {(1, 1): False, (2, 2): False, (3, 3): False}
