@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows, with built-in functions only.
 
-Texts become templates: numbers, names (words inside a sentence with only their first letter large) and units
-are replaced by typed placeholders, letters are lowered, punctuation goes. All windows
+White space is collapsed, and texts become templates: numbers, names (words that begin with a large and a small
+letter) and units are replaced by typed placeholders, letters are lowered, punctuation goes. The first word of a sentence
+may be a name or not, so windows with such words have two templates, with and without a slot for them. All windows
 of ``WINDOW`` template words of the texts are hash-joined with those of the benchmark
 items, so a question with other numbers and names still matches. The slots of windows
 that continue each other are compared with one assignment: the most frequent text value of
@@ -40,24 +41,30 @@ UNITS = ("kilometers kilometres meters metres centimeters millimeters miles feet
 
 
 def marked_words(text: Column) -> Column:
-    """Words with slots marked: 01, the type (D, N or U), and the value."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01\x02]", " ")
-    t = F.regexp_replace(t, "(" + UNSPACED + ")", " $1 ")
+    """Words with slots marked: 01, the type (D, N, U, or M for a large first letter at the start of a sentence), and the value."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), "(" + UNSPACED + ")", " $1 ")
+    t = F.regexp_replace(t, r"[\s\p{Z}\x01\x02\x85]+", " ")
     t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", "\x01N")
+    t = F.regexp_replace(t, r'(?<![^ \p{Ps}\p{Pi}"*_>])(?=\p{Lu}\p{Ll})', "\x01M")
     t = F.regexp_replace(t, r"(?<![\x01\p{L}\p{N}])(?=\p{N})", "\x01D")
     t = F.regexp_replace(F.lower(t), r"(\x01d[\p{N}.,:/-]*) ?(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])", "$1 \x01u$2")
     t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}\s\x01]+", ""), r"\s+", " "))
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
 
 
-def template(words: Column) -> Column:
-    """The words with the values of slots removed."""
-    return F.transform(words, lambda w: F.when(w.startswith("\x01"), F.substring(w, 1, 2)).otherwise(w))
+def _value(word: Column) -> Column:
+    return F.regexp_replace(word, "\x01.", "")
+
+
+def template(words: Column, first: bool = False) -> Column:
+    """The words with the values of slots removed; with ``first``, words at the start of a sentence are slots too."""
+    return F.transform(words, lambda w: F.when(w.startswith("\x01m"), F.lit("\x01n") if first else _value(w))
+                       .when(w.startswith("\x01"), F.substring(w, 1, 2)).otherwise(w))
 
 
 def plain(words: Column) -> Column:
     """The words without marks, slots with their values."""
-    return F.transform(words, lambda w: F.when(w.startswith("\x01"), F.regexp_replace(w, "\x01.", "")).otherwise(w))
+    return F.transform(words, lambda w: F.when(w.startswith("\x01"), _value(w)).otherwise(w))
 
 
 def word_hashes(words: Column) -> Column:
@@ -71,10 +78,17 @@ def window_hashes(hashes: Column, width: int | Column) -> Column:
         F.array().cast("array<bigint>"))
 
 
-def both_hashes(width: int | Column) -> Column:
-    """Per window the hashes of its template (t) and of its own words (x) from the columns t and x; x is null where both are equal."""
-    return F.zip_with(window_hashes(F.col("t"), width), window_hashes(F.col("x"), width),
+def hashed_words(words: Column) -> dict[str, Column]:
+    """Word hashes of the two templates (t, and f with slots at the start of sentences) and of the words themselves (x)."""
+    return {"t": word_hashes(template(words)), "f": word_hashes(template(words, True)), "x": word_hashes(plain(words))}
+
+
+def all_hashes(width: int | Column) -> Column:
+    """Per window its hashes from the columns t, f and x; f and x are null where they equal t."""
+    both = F.zip_with(window_hashes(F.col("t"), width), window_hashes(F.col("x"), width),
                       lambda t, x: F.struct(t.alias("t"), F.when(t != x, x).alias("x")))
+    return F.zip_with(both, window_hashes(F.col("f"), width),
+                      lambda b, f: F.struct(b["t"].alias("t"), b["x"].alias("x"), F.when(f != b["t"], f).alias("f")))
 
 
 def benchmark_items(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -88,14 +102,15 @@ def benchmark_items(items: DataFrame, key: str = "item_id", text: str = "text")
 def benchmark_windows(words: DataFrame) -> DataFrame:
     """One row per window hash and item: item_id, words (marked), j, width, window."""
     words = words.filter(F.size("words") >= EXACT_LEAST * F.col("scale")).withColumns({
-        "width": F.least(F.size("words"), WINDOW * F.col("scale")),
-        "t": word_hashes(template(F.col("words"))), "x": word_hashes(plain(F.col("words")))})
-    rows = words.select("item_id", "words", "width", "scale", F.posexplode(both_hashes(F.col("width"))).alias("j", "w"))
-    slots = F.size(F.filter(F.slice("words", F.col("j") + 1, F.col("width")), lambda w: w.startswith("\x01")))
+        "width": F.least(F.size("words"), WINDOW * F.col("scale")), **hashed_words(F.col("words"))})
+    rows = words.select("item_id", "words", "width", "scale", F.posexplode(all_hashes(F.col("width"))).alias("j", "w"))
+    part = F.slice("words", F.col("j") + 1, F.col("width"))
+    first = F.size(F.filter(part, lambda w: w.startswith("\x01m")))
+    every = F.size(F.filter(part, lambda w: w.startswith("\x01")))
     # A window without slots has one hash, which is exact.
-    kept = (slots == 0) | ((slots * 2 <= F.col("width")) & (F.size("words") >= LEAST * F.col("scale")))
-    return rows.select("item_id", "words", "width", "j", F.explode(F.array(F.when(kept, F.col("w.t")), F.col("w.x"))).alias("window")).filter(
-        "window is not null")
+    kept = lambda slots: (slots == 0) | ((slots * 2 <= F.col("width")) & (F.size("words") >= LEAST * F.col("scale")))
+    return rows.select("item_id", "words", "width", "j", F.explode(F.array(
+        F.when(kept(every - first), F.col("w.t")), F.when(kept(every), F.col("w.f")), F.col("w.x"))).alias("window")).filter("window is not null")
 
 
 def line_matches(source: DataFrame, short: DataFrame) -> DataFrame:
@@ -141,13 +156,13 @@ def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     widths = sorted(r["width"] for r in bench.select("width").distinct().collect())  # at most WINDOW values
     source = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
     hashed = source.select("doc_id", marked_words(F.col("t")).alias("words")).select(
-        "doc_id", word_hashes(template(F.col("words"))).alias("t"), word_hashes(plain(F.col("words"))).alias("x"))
-    windows = F.array().cast("array<struct<width:int,window:array<struct<t:bigint,x:bigint>>>>")
+        "doc_id", *[h.alias(name) for name, h in hashed_words(F.col("words")).items()])
+    windows = F.array().cast("array<struct<width:int,window:array<struct<t:bigint,x:bigint,f:bigint>>>>")
     if widths:
-        windows = F.array(*[F.struct(F.lit(w).alias("width"), both_hashes(w).alias("window")) for w in widths])
+        windows = F.array(*[F.struct(F.lit(w).alias("width"), all_hashes(w).alias("window")) for w in widths])
     exploded = (hashed.select("doc_id", F.explode(windows).alias("w"))
                 .select("doc_id", F.col("w.width").alias("width"), F.posexplode("w.window").alias("i", "w"))
-                .select("doc_id", "width", "i", F.explode(F.array("w.t", "w.x")).alias("window")).filter("window is not null"))
+                .select("doc_id", "width", "i", F.explode(F.array("w.t", "w.x", "w.f")).alias("window")).filter("window is not null"))
     hits = written(
         exploded.join(bench.select("window", "width", "item_id", "j"), ["window", "width"])
         .select("doc_id", "item_id", "width", "i", "j").distinct(), "hits")
@@ -163,10 +178,12 @@ def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         .join(item_words, "item_id")
         .select("doc_id", "item_id", "i", "j", "a", part("item_words", "j").alias("b"))
         .withColumn("same", plain(F.col("a")) == plain(F.col("b")))
-        .filter((template(F.col("a")) == template(F.col("b"))) | F.col("same")))
+        .filter((template(F.col("a")) == template(F.col("b"))) | (template(F.col("a"), True) == template(F.col("b"), True)) | F.col("same")))
+    named = lambda w: F.regexp_replace(w, "^\x01m", "\x01n")
     slots = F.filter(
-        F.transform(F.arrays_zip("a", "b"), lambda p, k: F.struct((F.col("j") + k).alias("at"), p["a"].alias("a"), p["b"].alias("b"))),
-        lambda p: p["a"].startswith("\x01") & p["b"].startswith("\x01"))
+        F.transform(F.arrays_zip("a", "b"), lambda p, k: F.struct((F.col("j") + k).alias("at"), named(p["a"]).alias("a"), named(p["b"]).alias("b"),
+                                                                      (p["a"].startswith("\x01m") & (p["a"] == p["b"])).alias("word"))),
+        lambda p: p["a"].startswith("\x01") & p["b"].startswith("\x01") & ~p["word"])
     # Windows on one diagonal continue each other, so their slots must fit together.
     runs = (
         both.withColumn("slots", slots)

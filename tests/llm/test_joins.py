@@ -206,3 +206,13 @@ def test_coinciding_values_and_single_exceptions_match(spark):
             (5, "boxes of 4 hold 4 red balls and 4 blue balls while 4 others hold 4 green balls and 4 more")]
     got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]): r["same_values"] for r in got.collect()} == {(1, 1): False, (2, 2): False, (3, 3): False}
+
+
+def test_layout_case_and_first_names_hide_nothing(spark):
+    items = [(1, "Tom has 3 red apples"), (2, "every Friday Anna walks from Bonn to Linz with Carla")]
+    docs = [(1, "so. Anna has 5 red apples"), (2, "TOM HAS 3 RED APPLES"), (3, "so\tTom\nhas  3\u00a0red apples"),
+            (4, "every Friday\nMaria walks\tfrom  Rome to\nGraz with\nPaula"), (5, "every friday anna walks from bonn to linz with carla"),
+            (6, "we know Anna has 7 red apples"), (7, "Tom has red apples")]
+    got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["same_values"] for r in got.collect()} == {
+        (1, 1): False, (2, 1): True, (3, 1): True, (4, 2): False, (5, 2): True, (6, 1): False}
