@@ -11,8 +11,9 @@ Templates: each host has a tree of path segments.
    few of them repeat, all become one wildcard: the node's children are variable.
 3. Sibling branches of a node whose labelled shares do not differ by a two-proportion
    test are merged: they take the pooled share.
-4. A template is rejected if the smoothed share of blocked labels, pulled towards its
-   host's share and that towards the share of all labels, exceeds ``REJECT``.
+4. A template is rejected if the smoothed share of blocked labels of its merged branch exceeds
+   ``REJECT``. It is pulled towards its host's share (and that towards the share of all labels), but
+   to ``REJECT`` at most: only labels of the branch reject, one without labels is undecided and allowed.
 
 Labels are rows whose verdict is known, by default those that a rule decides. All counts
 are aggregates over (host, node, segment), combined before they are shuffled, so a
@@ -128,7 +129,7 @@ def purity(paths: DataFrame) -> DataFrame:
               .withColumn("ml", F.when(alike, F.col("pl")).otherwise(F.col("labelled")))
               .withColumn("mb", F.when(alike, F.col("pb")).otherwise(F.col("blocked"))))
     return merged.select("host", "template", "n", "labelled", "blocked",
-                         ((F.col("mb") + PRIOR * host_share) / (F.col("ml") + PRIOR)).alias("purity"))
+                         ((F.col("mb") + PRIOR * F.least(host_share, F.lit(REJECT))) / (F.col("ml") + PRIOR)).alias("purity"))
 
 
 def judge(df: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url") -> DataFrame:

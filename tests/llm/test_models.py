@@ -124,6 +124,15 @@ def test_url_templates_and_purity(spark):
     assert got["http://many.net/user/ab/home"]["template"] == "user/{any}/home"
 
 
+def test_url_branches_without_labels_are_allowed(spark):
+    rows = [f"http://a.com/{d}/page/{i}" for d, n in (("de", 60), ("fr", 20), ("en", 30)) for i in range(n)]
+    rows += [f"http://b.net/x/bad/{i}" for i in range(9)] + [f"http://b.net/x/bad/y/{i}" for i in range(9)]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
+    rules = [("com", "/fr/", "allow"), ("com", "/de/", "block"), ("b.net", "/x/bad/1", "block"), ("b.net", "/x/bad/2", "block"), ("b.net", "/x/bad/3", "block")]
+    got = {rows[r["page_id"]]: r["verdict"] for r in url_filter.judge(df, rules).collect()}
+    assert {got[f"http://a.com/en/page/{i}"] for i in range(30)} == {"allow"}
+    assert got["http://b.net/x/bad/7"] == "block"
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1><p>tag line</p></header><nav><a href=x>Home</a></nav>
 <div class="cookie-notice"><p>We use cookies on this site.</p></div><main><article><h1>Title &amp; more</h1><p>First   para
  with <b>bold</b> &lt;text&gt;.</p><script>var a = "<p>no</p>";</script><!-- <p>no</p> --><aside class="related"><p>Related things</p></aside>
