@@ -75,15 +75,14 @@ def labeled_flat(spark, sf_dir):
 
 
 def labeled_nested(spark, sf_dir):
-    """Tokens as pages of a nested JSON array, in several files."""
+    """Tokens as nested records in JSON lines; a page is one record for each block of its positions."""
     path = work_dir(spark, "nested")
-    tokens = _event_tokens(spark, sf_dir)
-    token = F.struct("text", F.col("bbox")[0].alias("bbox"), "label")
-    pages = tokens.groupBy(F.col("page_key").alias("image")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))), lambda x: x["t"]).alias("ocr_labeled"))
-    block = F.floor(F.regexp_extract("image", "([0-9]+)", 1).cast("bigint") / 200)  # so many pages at most in an array
-    _json_arrays(pages.withColumn("block", block), "block", "image", F.struct("image", "ocr_labeled"), path)
-    return tables.read_labeled_nested(spark, f"{path}/*").select("image", "pos", "text", _listed(F.col("bbox")).alias("bbox"), "label")
+    tokens = _event_tokens(spark, sf_dir).withColumn("bbox", F.col("bbox")[0])
+    columns = ["text", "bbox", "label"]
+    blocks = grouping.group_tokens(tokens, "page_key", "pos", columns, TOKENS_PER_FILE)
+    blocks.select(F.col("page_key").alias("image"), (F.col("chunk") * TOKENS_PER_FILE).alias("start"),
+                  F.arrays_zip(*columns).alias("ocr_labeled")).write.json(path)
+    return tables.read_labeled_nested(spark, path, lines=True).select("image", "pos", "text", _listed(F.col("bbox")).alias("bbox"), "label")
 
 
 def sequence_files(spark, sf_dir):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dossier.operators.skew import running_before
 
 FLAT_TOKENS = "file_name string, text string, bbox array<array<double>>, label string"
-NESTED_TOKENS = "image string, ocr_labeled array<struct<text: string, bbox: array<double>, label: string>>"
+NESTED_TOKENS = "image string, start bigint, ocr_labeled array<struct<text: string, bbox: array<double>, label: string>>"
 INSTRUCTIONS = "instruction string, input string, output string"
 PAIRS = "text_a string, text_b string, label double"
 # Cells that the usual CSV reader of Python takes as missing.
@@ -66,11 +66,16 @@ def read_labeled_flat(spark: SparkSession, path: str) -> DataFrame:
     return with_file_index(rows, "pos").select(*rows.columns, "pos")
 
 
-def read_labeled_nested(spark: SparkSession, path: str) -> DataFrame:
-    """Tokens of a JSON array of pages: ``image``, ``pos`` in the page, ``text``, ``bbox``, ``label``."""
-    pages = spark.read.schema(NESTED_TOKENS).option("multiLine", True).json(path)
-    tokens = pages.select("image", F.posexplode("ocr_labeled").alias("pos", "token"))
-    return tokens.select("image", "pos", "token.text", "token.bbox", "token.label")
+def read_labeled_nested(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Tokens of a JSON array of pages: ``image``, ``pos`` in the page, ``text``, ``bbox``, ``label``.
+
+    With ``lines`` there is one page to a line, and files are split. A long page may be several
+    records, each with the position of its first token in ``start`` (0 if absent).
+    """
+    pages = spark.read.schema(NESTED_TOKENS).option("multiLine", not lines).json(path)
+    tokens = pages.select("image", "start", F.posexplode("ocr_labeled").alias("at", "token"))
+    pos = (F.coalesce("start", F.lit(0)) + F.col("at")).cast("int").alias("pos")
+    return tokens.select("image", pos, "token.text", "token.bbox", "token.label")
 
 
 def with_file_index(df: DataFrame, out: str = "id") -> DataFrame:

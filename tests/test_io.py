@@ -76,6 +76,22 @@ def test_labeled_tokens(spark, tmp_path):
     assert [(r.image, r.pos, r.text) for r in tokens.orderBy("pos").collect()] == [("a.png", 0, "x"), ("a.png", 1, "y")]
 
 
+def test_hot_page_is_several_nested_records(spark, tmp_path, monkeypatch):
+    from dossier.plans import round_trips
+
+    monkeypatch.setattr(round_trips, "TOKENS_PER_FILE", 100)
+    monkeypatch.setattr(round_trips, "work_dir", lambda *_: str(tmp_path / "nested"))
+    tokens = spark.range(1050).select(
+        F.when(F.col("id") % 20 != 0, "hot").otherwise("cold").alias("page_key"), F.col("id").alias("pos"), F.col("id").cast("string").alias("text"),
+        F.array(F.array(F.col("id").cast("double"), F.lit(1.0))).alias("bbox"), F.lit("PHONE").alias("label"))
+    monkeypatch.setattr(round_trips, "_event_tokens", lambda *_: tokens)
+    got = {(r.image, r.pos): r.text for r in round_trips.labeled_nested(spark, "").collect()}
+    hot = [str(i) for i in range(1050) if i % 20]
+    assert got == {("hot", i): x for i, x in enumerate(hot)} | {("cold", i): str(20 * i) for i in range(53)}
+    records = [json.loads(x.value) for x in spark.read.text(str(tmp_path / "nested")).collect()]
+    assert max(len(r["ocr_labeled"]) for r in records) == 100 and len(records) == 11
+
+
 def test_read_instructions(spark, tmp_path):
     lines = [{"instruction": "读", "input": f"i{n}", "output": "o"} for n in range(50)] + [{"input": "only"}, {"output": None}]
     path = put(tmp_path / "i.jsonl", "\n".join(json.dumps(x, ensure_ascii=False) for x in lines))
