@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm import decontamination, html_blocks, jaccard_join, piece_codec, quality_model, secret_scan, subspace_join, token_codes, url_filter, warc_bundles
-from dossier.llm.common import table
+from dossier.llm import decontamination, html_blocks, jaccard_join, piece_codec, quality_model, secret_scan, simhash, subspace_join, token_codes, url_filter, warc_bundles
+from dossier.llm.common import table, written
 
 QUALITY_LEAST = 0.3
 
@@ -86,6 +86,12 @@ def op10_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspace_join.similar(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the asked columns, ``n_near``: other documents within the radius, found by block tables."""
+    marks = written(simhash.drift(table(spark, sf_dir, "documents")), "marks")
+    return marks.join(simhash.near_counts(marks), "fingerprint", "left").select(*marks.columns, F.coalesce("n_near", F.lit(0)).alias("n_near"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
@@ -97,6 +103,7 @@ QUERIES = {
     "op8_quality_model": op8_quality_model,
     "op9_html_blocks": op9_html_blocks,
     "op10_subspace_join": op10_subspace_join,
+    "op12_simhash": op12_simhash,
 }
 
 def _reachable(links: str) -> str:
