@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm import decontamination, html_blocks, jaccard_join, piece_codec, quality_model, secret_scan, simhash, subspace_join, token_codes, url_filter, warc_bundles
+from dossier.llm import decontamination, html_blocks, jaccard_join, lexical_search, piece_codec, quality_model, secret_scan, simhash, subspace_join, token_codes, url_filter, warc_bundles
 from dossier.llm.common import table, written
 
 QUALITY_LEAST = 0.3
@@ -92,6 +92,10 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.join(simhash.near_counts(marks), "fingerprint", "left").select(*marks.columns, F.coalesce("n_near", F.lit(0)).alias("n_near"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_decontamination": op2_decontamination,
@@ -104,6 +108,7 @@ QUERIES = {
     "op9_html_blocks": op9_html_blocks,
     "op10_subspace_join": op10_subspace_join,
     "op12_simhash": op12_simhash,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 def _reachable(links: str) -> str:
@@ -113,6 +118,12 @@ def _reachable(links: str) -> str:
         roots AS (SELECT x, least(x, min(y)) AS root FROM reach GROUP BY x)"""
 
 
+def _terms(x: str) -> str:
+    """All runs of digits, letters and characters beyond ASCII, only A-Z lowered."""
+    lower = f"translate(coalesce({x}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 _DIGIT_BITS = " ".join(f"WHEN '{i:x}' THEN '{i:04b}'" for i in range(16))
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -145,4 +156,16 @@ ORACLE: dict[str, str] = {
         degrees AS (SELECT x, count(*) AS n FROM links GROUP BY x)
         SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
         FROM embeddings LEFT JOIN roots ON roots.x = vec_id LEFT JOIN degrees ON degrees.x = vec_id""",
+    "op13_ranked_search": f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS t FROM documents),
+        sizes AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM docs WHERE len(t) > 0),
+        total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+        asked AS (SELECT DISTINCT item_id, unnest({_terms("text")}) AS term FROM benchmark),
+        held AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM docs)
+          SEMI JOIN asked USING (term) GROUP BY r, term),
+        weights AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, total GROUP BY term),
+        scores AS (SELECT item_id, r, any_value(doc_id) AS doc_id,
+            sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+          FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (r), total GROUP BY item_id, r),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+        SELECT item_id, place::INT AS rank, doc_id, score FROM placed WHERE place <= 10""",
 }
