@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm import decontamination, html_blocks, jaccard_join, lexical_search, piece_codec, quality_model, secret_scan, simhash, subspace_join, token_codes, url_filter, warc_bundles
+from dossier.llm import decontamination, html_blocks, jaccard_join, lexical_search, piece_codec, quality_model, secret_scan, simhash, subspace_join, target_sampling, token_codes, url_filter, warc_bundles
 from dossier.llm.common import table, written
 
 QUALITY_LEAST = 0.3
@@ -86,6 +86,11 @@ def op10_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspace_join.similar(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op11_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Besides the asked columns, ``n_near``: other documents within the radius, found by block tables."""
     marks = written(simhash.drift(table(spark, sf_dir, "documents")), "marks")
@@ -107,6 +112,7 @@ QUERIES = {
     "op8_quality_model": op8_quality_model,
     "op9_html_blocks": op9_html_blocks,
     "op10_subspace_join": op10_subspace_join,
+    "op11_target_sampling": op11_target_sampling,
     "op12_simhash": op12_simhash,
     "op13_ranked_search": op13_ranked_search,
 }
