@@ -1,8 +1,9 @@
 """Importance resampling towards a target, with hashed word n-grams and a head-tail vocabulary.
 
 Features of a text are its runs of one to three words; each falls into one of ``BUCKETS`` buckets by
-the CRC-32 of its bytes. The head of the vocabulary is counted over all documents: the ``HEAD_WORDS``
-most frequent words and the ``HEAD_PAIRS`` most frequent pairs of the ``PAIR_WORDS`` first of them. For these
+the CRC-32 of its bytes. The head of the vocabulary is counted over all documents: words that make up at least one
+``HEAD_WORDS``th of all words, and pairs that make up at least one ``HEAD_PAIRS``th of all pairs of words with a share of
+one ``PAIR_WORDS``th or more, so there are never more than these numbers of them. For these
 the state of the checksum after the word, and the state and bucket of the pair, go to all tasks. The state of a
 longer run follows from the states of its parts, since a CRC is linear: the state of the left part is shifted by the
 length of the right one (four table lookups) and added to the state of the right one. Words of the tail are
@@ -157,6 +158,14 @@ def _texts(rows: DataFrame, text: str) -> DataFrame:
     return rows.select(F.col(text).cast("string").alias("t"))
 
 
+def _frequent(counted: DataFrame, most: int) -> tuple[list[tuple], int]:
+    """Rows (key, n) with at least one ``most``th of all, which are ``most`` at the highest, the most frequent first; and the sum."""
+    counted = written(counted, "counts")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    rows = counted.filter(F.col("n") * most >= total).collect()
+    return sorted(((r[0], r[1]) for r in rows), key=lambda r: (-r[1], r[0])), total
+
+
 def head_of(documents: DataFrame, text: str = "text") -> Head:
     """Frequent words and pairs, counted over all documents; bounded by the constants above."""
     def count_words(batches):
@@ -168,8 +177,9 @@ def head_of(documents: DataFrame, text: str = "text") -> Head:
 
     texts = _texts(documents, text)
     counted = texts.mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = [bytes(r["word"]) for r in counted.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()]
-    width = min(PAIR_WORDS, len(words))
+    found, total = _frequent(counted, HEAD_WORDS)
+    words = [bytes(word) for word, _ in found]
+    width = sum(n * PAIR_WORDS >= total for _, n in found)
     shared = documents.sparkSession.sparkContext.broadcast(words[:width])
 
     def count_pairs(batches):
@@ -185,17 +195,16 @@ def head_of(documents: DataFrame, text: str = "text") -> Head:
     pairs = []
     if width:
         counted = texts.mapInArrow(count_pairs, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-        pairs = [r["code"] for r in counted.orderBy(F.desc("n"), "code").limit(HEAD_PAIRS).collect()]
-    return build_head(words, np.array(pairs, np.int64))
+        pairs = [code for code, _ in _frequent(counted, HEAD_PAIRS)[0]]
+    return build_head(words, width, np.array(pairs, np.int64))
 
 
-def build_head(words: list[bytes], pairs: np.ndarray) -> Head:
+def build_head(words: list[bytes], width: int, pairs: np.ndarray) -> Head:
     """Tables for frequent words, and for pairs given as first * width + second."""
     data = np.frombuffer(b"".join(words), np.uint8)
     lengths = np.array([len(w) for w in words], np.int64)
     ends = np.cumsum(lengths)
     states = sums(data, ends - lengths, ends)
-    width = min(PAIR_WORDS, len(words))
     first, second = np.divmod(pairs, max(1, width))
     one = shift(np.full(len(pairs), _START, np.uint32), lengths[first]) ^ states[first]
     spaced = shift(np.full(len(pairs), _SPACE, np.uint32), lengths[second]) ^ states[second]

@@ -88,7 +88,7 @@ def test_states_follow_from_parts():
     words = words_of(text)
     for head in ([], [b"beta", b"alpha"]):
         pairs = np.array([2], np.int64) if head else np.empty(0, np.int64)  # alpha beta
-        tables = target_sampling.build_head(head, pairs)
+        tables = target_sampling.build_head(head, len(head), pairs)
         part = next(slices(pa.array([text])))
         got, _ = target_sampling.features(part, tables)
         assert sorted(got.tolist()) == sorted(features_of(text)) and len(got) == 3 * len(words) - 3
