@@ -13,11 +13,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from dossier.plans import queries, round_trips  # noqa: E402
+from dossier.plans import matching, queries, round_trips  # noqa: E402
 from dossier.session import build_session, remove_work  # noqa: E402
 
 
-QUERIES = queries.QUERIES | round_trips.QUERIES
+QUERIES = queries.QUERIES | round_trips.QUERIES | matching.QUERIES
 
 
 def main() -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -21,50 +22,107 @@ from dossier.functions.text import (
 )
 
 
-def batch_infer(
+#: Models by the call that uses them, so that a worker process loads each once however many tasks it runs.
+_loaded: dict[str, Any] = {}
+
+
+def loaded(name: str, loader: Callable[[], Any]) -> Any:
+    """The worker process's own model."""
+    if name not in _loaded:
+        _loaded.clear()  # models of earlier calls are not needed again
+        _loaded[name] = loader()
+    return _loaded[name]
+
+
+def answers_of(
+    fn: Callable[[Any, pa.RecordBatch], Sequence], model: Any, batch: pa.RecordBatch, errors: tuple[type[Exception], ...]
+) -> tuple[list, list[str | None]]:
+    """Results and problems of all records of a batch, with as few calls as a failure allows.
+
+    A call that fails is repeated on both halves of its records, until the failing records
+    are alone: at most 1 + 2 b ceil(log2 n) calls for b failing ones among n. A result that is an exception stands for
+    its record's failure and costs no further call.
+    """
+    values: list = [None] * batch.num_rows
+    problems: list[str | None] = [None] * batch.num_rows
+    open_ = [(0, batch.num_rows)] if batch.num_rows else []
+    while open_:
+        start, size = open_.pop()
+        try:
+            got = list(fn(model, batch.slice(start, size)))
+            if len(got) != size:
+                raise TypeError(f"{len(got)} results for {size} records")
+        except errors as problem:
+            if size == 1:
+                problems[start] = f"{type(problem).__name__}: {problem}"
+            else:
+                open_ += [(start + size // 2, size - size // 2), (start, size // 2)]
+            continue
+        for i, value in enumerate(got, start):
+            if isinstance(value, errors):
+                problems[i] = f"{type(value).__name__}: {value}"
+            else:
+                values[i] = value
+    return values, problems
+
+
+def infer_batches(
     df: DataFrame,
     inputs: list[str],
     loader: Callable[[], Any],
-    fn: Callable[[Any, dict], Any],
+    fn: Callable[[Any, pa.RecordBatch], Sequence],
     out_type: str = "string",
     out: str = "value",
     keep: list[str] | None = None,
     errors: tuple[type[Exception], ...] = (Exception,),
 ) -> DataFrame:
-    """Run a model over all records and keep going when one fails.
-
-    ``loader`` is called once per task, ``fn(model, record)`` per record with the
-    ``inputs`` as a dict. Adds ``out`` and ``error`` (null on success) to the columns
-    ``keep`` (all by default); only these and the inputs reach Python. Kept columns pass
-    as they came, whole numbers of any size included, and inputs and results are plain
-    Python values. Exceptions other than ``errors`` end the job. Batches follow
-    ``spark.sql.execution.arrow.maxRecordsPerBatch``, so memory does not grow with the
-    partition. Both callables are sent to the executors.
+    """Run a model over whole batches of records and keep going when some fail.
+
+    ``fn(model, batch)`` gets an Arrow batch of the ``inputs`` and returns one result per record. ``loader`` is called
+    once per worker process. Adds ``out`` and ``error`` (null on success) to the columns ``keep`` (all by
+    default); only these and the inputs reach Python. A failing batch is halved until its failing records
+    are alone. Kept columns pass as they came; results are plain Python values. Exceptions other than ``errors``
+    end the job. Batches follow ``spark.sql.execution.arrow.maxRecordsPerBatch``, so memory does not grow with the
+    partition. An empty batch makes no call. Both callables are sent to the executors.
     """
     keep = df.columns if keep is None else list(keep)
     result = StructType.fromDDL(f"`{out}` {out_type}, `error` string")
     schema = StructType([df.schema[c] for c in keep] + result.fields)
     kind = to_arrow_type(result[out].dataType)
+    name = uuid.uuid4().hex
 
     def run(batches):
-        model = None
         for batch in batches:
-            if model is None:
-                model = loader()
-            values, problems = [], []
-            for record in batch.select(inputs).to_pylist():
-                try:
-                    values.append(fn(model, record))
-                    problems.append(None)
-                except errors as problem:
-                    values.append(None)
-                    problems.append(f"{type(problem).__name__}: {problem}")
+            values, problems = answers_of(fn, loaded(name, loader), batch.select(inputs), errors)
             columns = [*(batch.column(c) for c in keep), pa.array(values, kind), pa.array(problems, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, out, "error"])
 
     return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(run, schema)
 
 
+def batch_infer(
+    df: DataFrame,
+    inputs: list[str],
+    loader: Callable[[], Any],
+    fn: Callable[[Any, dict], Any],
+    out_type: str = "string",
+    out: str = "value",
+    keep: list[str] | None = None,
+    errors: tuple[type[Exception], ...] = (Exception,),
+) -> DataFrame:
+    """``infer_batches`` for a model that takes one record, a dict of the ``inputs``, at a time."""
+    def each(model, batch):
+        def one(record):
+            try:
+                return fn(model, record)
+            except errors as problem:
+                return problem
+
+        return [one(record) for record in batch.to_pylist()]
+
+    return infer_batches(df, inputs, loader, each, out_type, out, keep, errors)
+
+
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) records after ``batch_infer``.
 
@@ -98,13 +156,15 @@ def parse_scores(df: DataFrame, response: str = "response", reference: str = "ou
 def score_records(
     df: DataFrame,
     loader: Callable[[], Any],
-    generate: Callable[[Any, str], str],
+    generate: Callable[[Any, Any], Any],
     id_: str = "id",
     criteria: bool = True,
+    batched: bool = False,
 ) -> DataFrame:
     """Instruction records to score results: prompt, model, parsing, adjustment.
 
-    ``generate(model, prompt)`` returns the full response, with or without the prompt.
+    ``generate(model, prompt)`` returns the full response, with or without the prompt. With ``batched`` it
+    gets a list of prompts and returns a list of responses.
     A record whose generation fails has null scores, so it counts as failed; ``error``
     says why.
     """
@@ -114,8 +174,14 @@ def score_records(
             F.coalesce("instruction", F.lit("")), F.coalesce("input", F.lit("")), criteria
         ).alias("prompt"),
     )
-    answered = batch_infer(
-        prompts, ["prompt"], loader, lambda model, record: generate(model, record["prompt"]), out="response",
-        keep=[id_, "output"],
-    )
+    if batched:
+        answered = infer_batches(
+            prompts, ["prompt"], loader, lambda model, batch: generate(model, batch.column(0).to_pylist()), out="response",
+            keep=[id_, "output"],
+        )
+    else:
+        answered = batch_infer(
+            prompts, ["prompt"], loader, lambda model, record: generate(model, record["prompt"]), out="response",
+            keep=[id_, "output"],
+        )
     return parse_scores(answered)

@@ -575,13 +575,14 @@ def batch_infer(spark, sf_dir):
     def loader():
         return {"separator": "|"}
 
-    def count_words(model, record):
-        if model["separator"] in record["text"]:
+    def count_words(model, batch):
+        texts = batch.column(0).to_pylist()
+        if any(model["separator"] in t for t in texts):
             raise ValueError("separator in text")
-        return len(record["text"].split(" "))
+        return [len(t.split(" ")) for t in texts]
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return inference.batch_infer(docs, ["text"], loader, count_words, "bigint", keep=["doc_id"])
+    return inference.infer_batches(docs, ["text"], loader, count_words, "bigint", keep=["doc_id"])
 
 
 def split_inferred(spark, sf_dir):
@@ -595,19 +596,22 @@ def score_records(spark, sf_dir):
     def loader():
         return "匹配度：0."
 
-    def generate(model, prompt):
-        size = len(prompt)
-        if size % 13 == 0:
-            raise ValueError("no answer")
-        reason = "技能不足。" if size % 3 else "经验相关。"
-        return f" {prompt}\n{model}{size % 7}0\n理由：{reason} "
+    def generate(model, prompts):
+        def one(prompt):
+            size = len(prompt)
+            if size % 13 == 0:
+                return ValueError("no answer")
+            reason = "技能不足。" if size % 3 else "经验相关。"
+            return f" {prompt}\n{model}{size % 7}0\n理由：{reason} "
+
+        return [one(prompt) for prompt in prompts]
 
     records = table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("text").alias("instruction"),
         F.col("role").alias("input"),
         F.concat(F.lit("匹配度：0."), F.col("turn").cast("string"), F.lit("\n理由：-")).alias("output"),
     )
-    return inference.score_records(records, loader, generate)
+    return inference.score_records(records, loader, generate, batched=True)
 
 
 QUERIES = {
