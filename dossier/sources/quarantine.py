@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType, VariantType
+from pyspark.sql.types import StructType
 
 from dossier.sources.tables import _csv
 
@@ -46,6 +46,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, required: list[
     kind = F.schema_of_variant(F.try_parse_json("value"))
     reason = (
         F.when(value == "", "empty line").when(kind.isNull(), "malformed JSON").when(~kind.startswith("OBJECT"), "no object")
+        .when(~value.endswith("}"), "malformed JSON")  # the parser stops after the first value
         .when(F.col("r._corrupt").isNotNull() | F.col("r").isNull(), "wrong type").otherwise(_missing(list(required), "r.")))
     judged = parsed.withColumn("reason", reason)
     good = judged.filter(F.col("reason").isNull()).select(*[f"r.{f.name}" for f in fields], "file", "line")
@@ -90,9 +91,9 @@ def read_json_arrays(spark: SparkSession, path: str, schema: str, required: list
     """
     fields = StructType.fromDDL(schema)
     whole = StructType([*fields.fields]).add("_corrupt", "string")
-    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    items = F.from_json("value", ArrayType(VariantType()), {"mode": "PERMISSIVE"})
-    broken = F.try_parse_json("value").isNull() | ~F.ltrim(F.regexp_replace("value", "^[\\s﻿]+", "")).startswith("[")
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    items = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
+    broken = items.isNull()
     records = files.filter(~broken).select("file", F.posexplode(items).alias("at", "v"))
     records = records.select("file", (F.col("at") + 1).cast("bigint").alias("line"), F.to_json("v").alias("value"))
     parsed = records.withColumn("r", F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))

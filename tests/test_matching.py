@@ -107,11 +107,11 @@ def put(path, text):
 
 
 def test_quarantine_of_json_lines(spark, tmp_path):
-    lines = ['{"a": 1, "t": "x"}', '{"a": 2, "t": "y"', "", '["a"]', '{"a": "no", "t": "z"}', '{"a": 3}', '{"a": 4, "t": null}', '{"a": null, "t": "w", "other": [1]}', "7"]
+    lines = ['{"a": 1, "t": "x"}', '{"a": 2, "t": "y"', "", '["a"]', '{"a": "no", "t": "z"}', '{"a": 3}', '{"a": 4, "t": null}', '{"a": null, "t": "w", "other": [1]}', "7", '{"a": 5, "t": "x"} and more']
     put(tmp_path / "in/one.jsonl", "\n".join(lines) + "\n")
     put(tmp_path / "in/two.jsonl", "\n".join(reversed(lines)))
     put(tmp_path / "in/none.jsonl", "")
-    want = [("", 1), ("malformed JSON", 2), ("empty line", 3), ("no object", 4), ("wrong type", 5), ("no t", 6), ("no t", 7), ("", 8), ("no object", 9)]
+    want = [("", 1), ("malformed JSON", 2), ("empty line", 3), ("no object", 4), ("wrong type", 5), ("no t", 6), ("no t", 7), ("", 8), ("no object", 9), ("malformed JSON", 10)]
     spark.conf.set("spark.sql.files.maxPartitionBytes", 60)
     try:
         good, bad = quarantine.read_json_lines(spark, str(tmp_path / "in"), "a bigint, t string", ["t"])
@@ -119,7 +119,7 @@ def test_quarantine_of_json_lines(spark, tmp_path):
         records = {r["record"] for r in bad.collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert sorted(got) == sorted([("one.jsonl", r, n) for r, n in want] + [("two.jsonl", r, 10 - n) for r, n in want])
+    assert sorted(got) == sorted([("one.jsonl", r, n) for r, n in want] + [("two.jsonl", r, 11 - n) for r, n in want])
     assert records == set(lines) - {lines[0], lines[7]} and sorted(good.columns) == ["a", "file", "line", "t"]
 
 
