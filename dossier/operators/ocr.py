@@ -114,9 +114,11 @@ def assemble_text(files: DataFrame, lines: DataFrame, file: str = "file") -> Dat
 def document_errors(df: DataFrame, hyp: str = "ocr_text", ref: str = "text") -> DataFrame:
     """Distances, sizes and error rates of each document.
 
-    Adds ``n_chars``, ``n_words``, ``char_errors``, ``word_errors``, ``cer``, ``wer``.
+    Adds ``n_chars``, ``n_words``, ``char_errors``, ``word_errors``, ``cer``, ``wer``. Rows are dealt out anew
+    first: few bytes of text make much work here, and partitions sized by bytes would leave it to one task.
     """
-    words = df.withColumn("_words", py_words(F.col(ref)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = df.repartition(parts).withColumn("_words", py_words(F.col(ref)))
     counted = (
         words.withColumn("n_chars", F.length(ref).cast("long"))
         .withColumn("n_words", F.size("_words").cast("long"))

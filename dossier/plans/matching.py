@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from dossier.functions import privacy
 from dossier.operators import boosting, retrieval, sampling, term_weights
 from dossier.plans import queries as base
-from dossier.plans.oracle import _terms
+from dossier.plans.oracle import ORACLE as _BASE, _terms
 from dossier.plans.queries import _rounded, table
 from dossier.session import work_dir, written
-from dossier.sources import quarantine
+from dossier.sources import images, quarantine, sinks, tables
 
 TOP_N = 10
 #: Every so many vectors one is a target.
 EVERY = 20
+KEY = "a key of the run"
 
 
 def coarse_top_n(spark, sf_dir):
@@ -112,6 +114,43 @@ def quarantine_rows(spark, sf_dir):
         bad.select(first.alias("id"), none.cast("bigint").alias("n"), none.cast("double").alias("label"), "reason"))
 
 
+def scrubbed_values(spark, sf_dir):
+    """Documents, some with values of other documents, every value overwritten by its own surrogate."""
+    shared = F.concat(F.lit(" mail USER"), (F.col("doc_id") % 40).cast("string"), F.lit("@mail.org or 555-123-4567 or 10.0.0."), (F.col("doc_id") % 9).cast("string"))
+    return table(spark, sf_dir, "documents").select("doc_id", privacy.scrub_values(F.concat("text", shared), KEY).alias("text"))
+
+
+def image_dims(spark, sf_dir):
+    """Sizes from headers made of the parts, half of them PNG; some are cut off or of another format."""
+    four = lambda c: F.lpad(F.hex(F.col(c).cast("int")), 4, "0")
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 20).alias("w"), F.floor("p_retailprice").alias("h"))
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D494844520000"), four("w"), F.lit("0000"), four("h"), F.lit("0802000000"))
+    jpeg = F.concat(F.lit("FFD8FFE00004AABBFFFFDB0003CCFFC2000B08"), four("h"), four("w"), F.lit("01011100FFDA"))
+    raw = F.when(F.col("p_partkey") % 2 == 0, png).otherwise(jpeg)
+    raw = F.when(F.col("p_partkey") % 11 == 3, F.substring(raw, 1, 40)).when(F.col("p_partkey") % 13 == 5, F.lit("47494638")).otherwise(raw)
+    good, bad = images.page_dims(parts.select("p_partkey", F.unhex(raw).alias("content")))
+    return good.withColumn("reason", F.lit("")).unionByName(bad, allowMissingColumns=True)
+
+
+def repeated_appends(spark, sf_dir):
+    """Two runs of a metric log, the first written twice."""
+    path = work_dir(spark, "runs")
+    rows = base.metric_log(spark, sf_dir)
+    for run, part in (("a", "epoch < 10"), ("b", "epoch >= 10"), ("a", "epoch < 10")):
+        sinks.append_metrics(rows.filter(part), path, run)
+    return tables.read_metrics(spark, path)
+
+
+def run_manifest(spark, sf_dir):
+    """Row counts as a manifest, with the time of writing as a flag."""
+    path = work_dir(spark, "manifest")
+    counts = {name: table(spark, sf_dir, name).count() for name in ("documents", "pages", "events")}
+    sinks.write_run_manifest(spark, {**counts, "input": "tables", "share": 0.1}, path)
+    row = spark.read.schema("documents bigint, pages bigint, events bigint, input string, share double, created_at string").json(path)
+    recent = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("created_at")) < 3600
+    return row.select("documents", "pages", "events", "input", "share", recent.alias("recent"))
+
+
 QUERIES = {
     "q52_coarse_top_n": coarse_top_n,
     "q52b_coarse_to_text": coarse_to_text,
@@ -121,6 +160,10 @@ QUERIES = {
     "q54b_boosted_scores": boosted_scores,
     "q55_quarantine_lines": quarantine_lines,
     "q55b_quarantine_rows": quarantine_rows,
+    "q56_image_dims": image_dims,
+    "q57_scrubbed_values": scrubbed_values,
+    "q58_repeated_appends": repeated_appends,
+    "q59_run_manifest": run_manifest,
 }
 
 _IDF = f"""terms AS (SELECT doc_id, unnest({_terms("coalesce(text, '')")}) AS term FROM documents),
@@ -138,6 +181,20 @@ def _nearest(score: str, targets: str, most: int) -> str:
       QUALIFY rank <= {most}"""
 
 
+def _surrogate(v: str) -> str:
+    kind = f"""CASE WHEN contains({v}, '@') THEN 'email' WHEN regexp_full_match({v}, '{privacy.PATTERNS["number"]}') THEN 'number'
+      WHEN regexp_full_match({v}, '{privacy.PATTERNS["ip"]}') THEN 'ip' ELSE 'phone' END"""
+    plain = f"CASE {kind} WHEN 'email' THEN lower({v}) WHEN 'ip' THEN {v} ELSE regexp_replace({v}, '[^0-9]', '', 'g') END"
+    digest = f"sha256('{KEY}:' || {kind} || ':' || {plain})"
+    digits = f"substr(translate({digest}, 'abcdef', '012345'), 1, 16)"
+    return f"""CASE {kind} WHEN 'email' THEN 'user_' || substr(translate({digest}, '0123456789', 'ghijklmnop'), 1, 12) || '@example.com'
+      WHEN 'number' THEN '#' || {digits}
+      WHEN 'ip' THEN '2001:db8::' || substr({digest}, 1, 4) || ':' || substr({digest}, 5, 4) || ':' || substr({digest}, 9, 4)
+      ELSE '555-' || {digits} END"""
+
+
+_EVERY = "|".join(f"(?:{p})" for p in privacy.PATTERNS.values())
+
 ORACLE = {
     "q52_coarse_top_n": f"""SELECT target, rank::INT AS rank, id, round(score, 6) AS score FROM (
         {_nearest("list_cosine_similarity(t.embedding::DOUBLE[], c.embedding::DOUBLE[])", f"t.vec_id % {EVERY} = 0", TOP_N)})""",
@@ -164,4 +221,14 @@ ORACLE = {
         FROM (SELECT id, length(text) AS n, (id % 100) / 100 AS label, CASE WHEN id % 14 = 1 THEN 'wrong number of cells'
                 WHEN id % 9 = 2 THEN 'wrong type' WHEN id % 15 = 3 THEN 'no label' ELSE '' END AS reason
               FROM (SELECT conv_id * 100 + turn AS id, text FROM conversations))""",
+    "q56_image_dims": """SELECT p_partkey, CASE WHEN reason = '' THEN p_size::BIGINT * 20 END AS width,
+          CASE WHEN reason = '' THEN floor(p_retailprice)::BIGINT END AS height, reason
+        FROM (SELECT *, CASE WHEN p_partkey % 11 = 3 THEN 'cut off' WHEN p_partkey % 13 = 5 THEN 'unknown format' ELSE '' END AS reason FROM part)""",
+    "q57_scrubbed_values": f"""WITH t AS (SELECT doc_id, text || ' mail USER' || (doc_id % 40) || '@mail.org or 555-123-4567 or 10.0.0.' || (doc_id % 9) AS t FROM documents),
+        cut AS (SELECT doc_id, regexp_extract_all(t, '{_EVERY}', 0) AS m, regexp_split_to_array(t, '{_EVERY}') AS g FROM t)
+        SELECT doc_id, array_to_string(list_transform(range(1, len(g) + 1), lambda i: g[i] || CASE WHEN i > len(m) THEN '' ELSE {_surrogate("m[i]")} END), '') AS text
+        FROM cut""",
+    "q58_repeated_appends": f"""SELECT *, CASE WHEN epoch < 10 THEN 'a' ELSE 'b' END AS run FROM ({_BASE["q17_metric_log"]})""",
+    "q59_run_manifest": """SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(*) FROM pages) AS pages,
+          (SELECT count(*) FROM events) AS events, 'tables' AS input, 0.1::DOUBLE AS share, true AS recent""",
 }

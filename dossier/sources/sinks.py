@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.functions.text import report_block
@@ -40,13 +40,15 @@ def write_results(
 ) -> bool:
     """All results as JSON lines, and the failed ones apart if there are any.
 
-    Failed rows are taken from the written results, so the scoring model runs once.
-    Returns whether failed rows were written.
+    Failed rows are counted while the results are written, so the scoring model runs once and the
+    written results are read again only if some failed. Returns whether failed rows were written.
     """
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
-    failed = failed_pairs(df.sparkSession.read.schema(df.schema).json(path), pred, true)
-    if failed.isEmpty():
+    seen = Observation()
+    watched = df.observe(seen, F.count_if(F.col(pred).isNull() | F.col(true).isNull()).alias("failed"))
+    watched.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    if not seen.get["failed"]:
         return False
+    failed = failed_pairs(df.sparkSession.read.schema(df.schema).json(path), pred, true)
     failed.write.mode("overwrite").option("ignoreNullFields", False).json(failed_path)
     return True
 
@@ -57,9 +59,19 @@ def write_report(df: DataFrame, path: str, id_: str = "id", score: str = "score"
     blocks.write.mode("overwrite").option("lineSep", RECORD_SEPARATOR).text(path)
 
 
-def append_metrics(df: DataFrame, path: str) -> None:
-    """Add rows to a sparse metric log; columns they lack stay null."""
-    metric_layout(df).write.mode("append").parquet(path)
+def append_metrics(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Add rows to a sparse metric log; columns they lack stay null.
+
+    With the name of a ``run`` the rows are that run's part of the log and take the place of what an
+    earlier try of it has written, so a repeated append changes nothing. Other runs stay as they are. A log
+    is either with runs throughout or without.
+    """
+    rows = metric_layout(df)
+    if run is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        keyed = rows.withColumn("run", F.lit(run))
+        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
 
 
 def write_run_manifest(spark: SparkSession, params: dict, path: str) -> None:

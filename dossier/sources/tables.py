@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dossier.operators.logs import METRIC_COLUMNS
 from dossier.operators.skew import running_before
 
 FLAT_TOKENS = "file_name string, text string, bbox array<array<double>>, label string"
@@ -117,6 +118,12 @@ def read_metric_log(spark: SparkSession, path: str, sep: str = ",", schema: str
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """A metric log as written by ``append_metrics``; ``run`` is null in a log without runs."""
+    columns = ", ".join(f"`{c}` {t}" for c, t in METRIC_COLUMNS.items())
+    return spark.read.schema(f"{columns}, run string").parquet(path)
+
+
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     """Encoded sequences as written by ``write_sequences``."""
     return spark.read.parquet(path)

@@ -175,3 +175,71 @@ def test_batches_single_failures_and_models_per_worker(spark):
     short = inference.infer_batches(spark.range(3), ["id"], load, lambda m, b: [1], "bigint")
     assert {r["error"] for r in short.collect()} <= {None, "TypeError: 1 results for 2 records", "TypeError: 1 results for 3 records"}
     assert inference.infer_batches(spark.range(0), ["id"], load, answer, "bigint").collect() == []
+
+
+def test_scrubbed_values_map_alike_and_apart(spark):
+    from pyspark.sql import functions as F
+
+    from dossier.functions import privacy
+    texts = ["a@b.org and A@B.ORG, c@b.org", "4111 1111 1111 1111 and 4111111111111111 and 4111-1111-1111-1112", "10.0.0.1 10.0.0.2 10.0.0.1",
+             "call 555-123-4567 or 555 123 4567", "nothing here", "", "a@b.org"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "i int, t string")
+    got = {r["i"]: r["t"] for r in df.select("i", privacy.scrub_values(F.col("t"), "k").alias("t")).collect()}
+    mails = re.findall(r"user_[g-pa-f]{12}@example\.com", got[0])
+    assert len(mails) == 3 and mails[0] == mails[1] != mails[2] and got[6] == mails[0]
+    numbers = re.findall(r"#[0-9]{16}", got[1])
+    assert len(numbers) == 3 and numbers[0] == numbers[1] != numbers[2]
+    ips = got[2].split(" ")
+    assert ips[0] == ips[2] != ips[1] and all(ip.startswith("2001:db8::") for ip in ips)
+    phones = re.findall(r"555-[0-9]{16}", got[3])
+    assert len(phones) == 2 and phones[0] == phones[1]
+    assert (got[4], got[5], got[99]) == ("nothing here", "", None)
+    other = df.select("i", privacy.scrub_values(F.col("t"), "another key").alias("t")).filter("i = 6").head()["t"]
+    assert other != got[6]
+
+
+@pytest.mark.parametrize("raw, want", [
+    (b"", "empty"), (None, "empty"), (b"GIF89a", "unknown format"), (b"\x89PNG\r\n\x1a\n", "cut off"),
+    (b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + (640).to_bytes(4) + (480).to_bytes(4), (640, 480)),
+    (b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + bytes(8), "no size"),
+    (b"\xff\xd8\xff\xe1\0\x04ab\xff\xff\xff\xc0\0\x0b\x08" + (30).to_bytes(2) + (70).to_bytes(2) + b"\1", (70, 30)),
+    (b"\xff\xd8\xff\xe1\0\x04ab\xff\xda\0\x04ab", "no frame"), (b"\xff\xd8\xff\xe1\0\x00ab", "broken segment"),
+    (b"\xff\xd8\xff\xe1\0\x04abXY\0\0", "broken segment"), (b"\xff\xd8\xff\xe1\xff\xff", "cut off"), (b"\xff\xd8\xff\xc0\0\x0b\x08", "cut off"),
+])
+def test_image_sizes(raw, want):
+    from dossier.sources.images import image_size
+    if isinstance(want, str):
+        with pytest.raises(ValueError, match=want):
+            image_size(raw)
+    else:
+        assert image_size(raw) == want
+
+
+def test_page_dims_of_files(spark, tmp_path):
+    from dossier.sources.images import read_page_dims
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.PNG").write_bytes(b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + (5).to_bytes(4) + (6).to_bytes(4) + bytes(9))
+    (tmp_path / "in/b.jpg").write_bytes(b"not an image")
+    good, bad = read_page_dims(spark, {"one": str(tmp_path / "in")})
+    assert [(os.path.basename(r["path"]), r["source"], r["width"], r["height"]) for r in good.collect()] == [("a.PNG", "one", 5, 6)]
+    assert [(os.path.basename(r["path"]), r["reason"]) for r in bad.collect()] == [("b.jpg", "unknown format")]
+
+
+def test_repeated_appends_change_nothing(spark, tmp_path):
+    from dossier.sources import sinks, tables
+    rows = spark.createDataFrame([(1.0, 5, 0.3), (2.0, 6, 0.2)], "epoch double, step bigint, train_loss double")
+    for run in ("007", "b", "007"):
+        sinks.append_metrics(rows if run == "b" else rows.limit(1), str(tmp_path / "log"), run)
+    got = tables.read_metrics(spark, str(tmp_path / "log")).collect()
+    assert sorted((r["run"], r["epoch"]) for r in got) == [("007", 1.0), ("b", 1.0), ("b", 2.0)]
+
+
+def test_results_are_read_again_only_if_some_failed(spark, tmp_path, monkeypatch):
+    from dossier.sources import sinks
+    def never(*_):
+        raise AssertionError("read again")
+
+    rows = spark.createDataFrame([(1, 0.5, 0.5)], "id int, pred_score double, true_score double")
+    monkeypatch.setattr(sinks, "failed_pairs", never)
+    assert not sinks.write_results(rows, str(tmp_path / "r"), str(tmp_path / "f"))
+    assert not sinks.write_results(rows.limit(0), str(tmp_path / "e"), str(tmp_path / "f"))
