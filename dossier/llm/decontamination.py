@@ -32,6 +32,8 @@ WINDOW = 8
 LEAST = 5
 EXACT_LEAST = 3
 FIT = 2 / 3
+#: So many windows of the benchmark, three numbers each, are sent to all tasks.
+BROADCAST_WINDOWS = 1 << 18
 #: Characters of scripts that are written without spaces (Thai, Lao, Burmese, Khmer, kana, Han).
 UNSPACED = "[\u0e00-\U0003ffff&&[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]]"
 #: Units of measure, as they follow a number.
@@ -68,27 +70,60 @@ def plain(words: Column) -> Column:
 
 
 def word_hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """Hashes of 59 bits, so that those of a window add up without overflow."""
+    return F.transform(words, lambda w: F.shiftrightunsigned(F.xxhash64(w), 5))
 
 
-def window_hashes(hashes: Column, width: int | Column) -> Column:
-    """Hash of every window of word hashes."""
-    last = F.size(hashes) - width + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(hashes, i, width)))).otherwise(
-        F.array().cast("array<bigint>"))
+def window_sums(hashes: Column, width: int) -> Column:
+    """Sum of the word hashes of every window: sums of 1, 2, 4, ... neighbours, put together by the bits of the width.
+
+    The order of words does not count here; the words themselves are compared after the join.
+    """
+    def added(a: Column, b: Column, shift: int) -> Column:
+        size = F.size(b) - shift
+        return F.when(size > 0, F.zip_with(F.slice(a, F.lit(1), size), F.slice(b, F.lit(shift + 1), size), lambda x, y: x + y)).otherwise(
+            F.array().cast("array<bigint>"))
+
+    def bound(array: Column, use) -> Column:
+        return F.flatten(F.transform(F.array(array), use))  # names the array, so it is made once
+
+    def step(power: Column, length: int, total: Column | None, done: int) -> Column:
+        if width & length:
+            total, done = (power, length) if total is None else (added(total, power, done), done + length)
+        if done == width:
+            return total
+        return bound(added(power, power, length), lambda doubled: step(doubled, 2 * length, total, done))
+
+    return bound(hashes, lambda h: step(h, 1, None, 0))
 
 
 def hashed_words(words: Column) -> dict[str, Column]:
-    """Word hashes of the two templates (t, and f with slots at the start of sentences) and of the words themselves (x)."""
-    return {"t": word_hashes(template(words)), "f": word_hashes(template(words, True)), "x": word_hashes(plain(words))}
+    """Word hashes of the words themselves (x), of the template (t) and of the one with slots at the start of sentences (f).
+
+    A text without a slot of the first kind has t equal to x; t is null then, and so is f in a text without any slot.
+    """
+    inner = F.exists(words, lambda w: w.startswith("\x01") & ~w.startswith("\x01m"))
+    every = F.exists(words, lambda w: w.startswith("\x01"))
+    return {"x": word_hashes(plain(words)), "t": F.when(inner, word_hashes(template(words))), "f": F.when(every, word_hashes(template(words, True)))}
+
+
+def any_window_sums(hashes: Column, width: Column) -> Column:
+    """The same for a width from a column, window by window."""
+    last = F.size(hashes) - width + 1
+    summed = F.transform(F.sequence(F.lit(1), last), lambda i: F.aggregate(F.slice(hashes, i, width), F.lit(0).cast("bigint"), lambda a, b: a + b))
+    return F.when(last >= 1, summed).otherwise(F.array().cast("array<bigint>"))
 
 
 def all_hashes(width: int | Column) -> Column:
-    """Per window its hashes from the columns t, f and x; f and x are null where they equal t."""
-    both = F.zip_with(window_hashes(F.col("t"), width), window_hashes(F.col("x"), width),
-                      lambda t, x: F.struct(t.alias("t"), F.when(t != x, x).alias("x")))
-    return F.zip_with(both, window_hashes(F.col("f"), width),
-                      lambda b, f: F.struct(b["t"].alias("t"), b["x"].alias("x"), F.when(f != b["t"], f).alias("f")))
+    """Per window its hashes from the columns x, t and f; t is null where it equals x, f where it equals t or x."""
+    sums = window_sums if isinstance(width, int) else any_window_sums
+    x = sums(F.col("x"), width)
+    none = F.transform("x", lambda h: F.lit(None).cast("bigint"))
+    t = F.when(F.col("t").isNull(), none).otherwise(sums(F.col("t"), width))
+    f = F.when(F.col("f").isNull(), none).otherwise(sums(F.col("f"), width))
+    both = F.zip_with(x, t, lambda x, t: F.struct(x.alias("x"), F.when(t != x, t).alias("t")))
+    return F.filter(F.zip_with(both, f, lambda b, f: F.struct(
+        b["x"].alias("x"), b["t"].alias("t"), F.when(f != F.coalesce(b["t"], b["x"]), f).alias("f"))), lambda w: w["x"].isNotNull())
 
 
 def benchmark_items(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -146,36 +181,40 @@ def unfit(slots: Column) -> Column:
 def matches(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, windows, same_values.
 
-    The benchmark's windows are written, so Spark knows their size: small ones are
-    broadcast, large ones are joined by shuffling hashes. Texts are read again only for the
-    slot check of documents with a match.
+    The benchmark's windows are written and counted. Up to ``BROADCAST_WINDOWS`` go to all tasks, and a
+    hit takes its words along, so texts are read once and not shuffled. More are joined by shuffling
+    hashes, and the texts with a hit are read again for their words.
     """
     words = written(benchmark_items(items), "bench-items")
     bench = written(benchmark_windows(words), "bench")
     short = words.filter(F.size("words") < EXACT_LEAST * F.col("scale"))
-    widths = sorted(r["width"] for r in bench.select("width").distinct().collect())  # at most WINDOW values
+    widths = sorted(r["width"] for r in bench.select("width").distinct().collect())  # at most 2 * WINDOW values
+    few = bench.count() <= BROADCAST_WINDOWS
     source = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
-    hashed = source.select("doc_id", marked_words(F.col("t")).alias("words")).select(
-        "doc_id", *[h.alias(name) for name, h in hashed_words(F.col("words")).items()])
-    windows = F.array().cast("array<struct<width:int,window:array<struct<t:bigint,x:bigint,f:bigint>>>>")
+    marked = source.select("doc_id", marked_words(F.col("t")).alias("words"))
+    carried = ["words"] if few else []
+    hashed = marked.select("doc_id", *carried, *[h.alias(name) for name, h in hashed_words(F.col("words")).items()])
+    windows = F.array().cast("array<struct<width:int,window:array<struct<x:bigint,t:bigint,f:bigint>>>>")
     if widths:
         windows = F.array(*[F.struct(F.lit(w).alias("width"), all_hashes(w).alias("window")) for w in widths])
-    exploded = (hashed.select("doc_id", F.explode(windows).alias("w"))
-                .select("doc_id", F.col("w.width").alias("width"), F.posexplode("w.window").alias("i", "w"))
-                .select("doc_id", "width", "i", F.explode(F.array("w.t", "w.x", "w.f")).alias("window")).filter("window is not null"))
-    hits = written(
-        exploded.join(bench.select("window", "width", "item_id", "j"), ["window", "width"])
-        .select("doc_id", "item_id", "width", "i", "j").distinct(), "hits")
-
-    ids = hits.select(F.col("doc_id").alias("_d")).distinct()
-    texts = source.join(ids, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi").select("doc_id", marked_words(F.col("t")).alias("words"))
+    exploded = (hashed.select("doc_id", *carried, F.explode(windows).alias("w"))
+                .select("doc_id", *carried, F.col("w.width").alias("width"), F.posexplode("w.window").alias("i", "w"))
+                .select("doc_id", *carried, "width", "i", F.explode(F.array("w.x", "w.t", "w.f")).alias("window")).filter("window is not null"))
     part = lambda name, at: F.slice(F.col(name), F.col(at) + 1, F.col("width"))
+    keys = bench.select("window", "width", "item_id", "j")
+    if few:
+        found = exploded.join(F.broadcast(keys), ["window", "width"]).select("doc_id", "item_id", "width", "i", "j", part("words", "i").alias("a"))
+        hits = written(found.distinct(), "hits")
+    else:
+        found = written(exploded.join(keys, ["window", "width"]).select("doc_id", "item_id", "width", "i", "j").distinct(), "hits")
+        ids = found.select(F.col("doc_id").alias("_d")).distinct()
+        texts = marked.join(ids, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi").withColumnRenamed("doc_id", "_d")
+        hits = (texts.join(found, F.col("doc_id").eqNullSafe(F.col("_d"))).filter(F.col("i") + F.col("width") <= F.size("words"))
+                .select("doc_id", "item_id", "width", "i", "j", part("words", "i").alias("a")))
+
     item_words = written(bench.select("item_id", F.col("words").alias("item_words")).distinct(), "items")
     both = (
-        texts.withColumnRenamed("doc_id", "_d").join(hits, F.col("doc_id").eqNullSafe(F.col("_d")))
-        .filter(F.col("i") + F.col("width") <= F.size("words"))
-        .select("doc_id", "item_id", "i", "j", "width", part("words", "i").alias("a"))
-        .join(item_words, "item_id")
+        hits.join(item_words, "item_id")
         .select("doc_id", "item_id", "i", "j", "a", part("item_words", "j").alias("b"))
         .withColumn("same", plain(F.col("a")) == plain(F.col("b")))
         .filter((template(F.col("a")) == template(F.col("b"))) | (template(F.col("a"), True) == template(F.col("b"), True)) | F.col("same")))

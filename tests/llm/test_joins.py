@@ -151,7 +151,9 @@ BENCH = [
 ]
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("few", [1 << 18, 0])
+def test_decontamination(spark, monkeypatch, few):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", few)
     texts = [
         (1, "Before. " + BENCH[0][1] + " After that."),
         (2, "so Maria bought 99 apples and 7 pears for 31 dollars on the market near the old river, how many fruits does Maria have?"),
@@ -216,3 +218,20 @@ def test_layout_case_and_first_names_hide_nothing(spark):
     got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]): r["same_values"] for r in got.collect()} == {
         (1, 1): False, (2, 1): True, (3, 1): True, (4, 2): False, (5, 2): True, (6, 1): False}
+
+
+def test_window_sums(spark):
+    from pyspark.sql import functions as F
+    rows = [(list(range(n)),) for n in range(0, 24)]
+    df = spark.createDataFrame([([v * v + 3 for v in r[0]],) for r in rows], "h array<bigint>")
+    widths = (1, 2, 3, 5, 7, 8, 16)
+    for r in df.select("h", *[decontamination.window_sums(F.col("h"), w).alias(f"w{w}") for w in widths]).collect():
+        for w in widths:
+            assert r[f"w{w}"] == [sum(r["h"][i:i + w]) for i in range(len(r["h"]) - w + 1)], (w, len(r["h"]))
+
+
+def test_shuffled_words_are_no_match(spark):
+    """Windows of equal words in another order have equal sums and are told apart by the words."""
+    items = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "eight seven six five four three two one"), (2, "so one two three four five six seven eight")], "doc_id long, text string")
+    assert [r["doc_id"] for r in decontamination.matches(docs, items).collect()] == [2]
