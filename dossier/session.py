@@ -51,9 +51,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_work(spark: SparkSession) -> int:
-    """Delete the intermediate tables this application has made, once no frame needs them. Returns how many."""
-    paths = _made.pop(spark.sparkContext.applicationId, [])
+def work_mark(spark: SparkSession) -> int:
+    """How many intermediate paths this application has named so far."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def remove_work(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the intermediate tables this application has made, once no frame needs them. Returns how many.
+
+    With ``since``, a mark of ``work_mark``, only those named after it; the last ``keep`` stay.
+    """
+    made = _made.get(spark.sparkContext.applicationId, [])
+    end = max(since, len(made) - keep)
+    paths = made[since:end]
+    del made[since:end]
     jvm = spark.sparkContext._jvm
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
