@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm import decontamination, jaccard_join, piece_codec, quality_model, secret_scan
-from dossier.llm.common import fresh, table, work_dir
+from dossier.llm.common import fresh, table, work_dir, written
+from dossier.session import remove_work, work_mark
 
 QUALITY_LEAST = 0.3
 
@@ -34,12 +35,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group: five-word shingles, similarity 0.8 or more.
 
-    Of rows that share an id one stays. Rows without id are in no group and stay.
+    Rows that share an id and the text are one document, of which one stays. Rows that share an id but not
+    the text are not judged by similarity: they all stay. Rows without id are in no group and stay. The ids to keep
+    are written and the join's own tables removed before texts are read again.
     """
+    before = work_mark(spark)
     groups = jaccard_join.similar(docs, width=5, least=80, of=100)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.filter("doc_id is null"))
+    mark = F.xxhash64("text")
+    counts = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), (F.min(mark) != F.max(mark)).alias("differ"))
+    chosen = counts.join(kept.withColumn("first", F.lit(True)), "doc_id", "left").filter("first or (n > 1 and differ)")
+    chosen = written(chosen.select("doc_id", (F.col("n") > 1).alias("repeated")), "kept")
+    remove_work(spark, before, keep=1)
+    single = chosen.filter("not repeated").select("doc_id")
+    out = docs.join(single, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    several = chosen.filter("repeated").select("doc_id")
+    if several.isEmpty():
+        return out
+    return out.unionByName(docs.join(several, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
