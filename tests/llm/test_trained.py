@@ -237,3 +237,14 @@ def test_quality_stage_follows_labels(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, SF).select("doc_id").collect()}
     assert np.mean([(i in kept) == bool(y) for i, y in labels.items()]) > 0.97
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    """Rows of one id with different texts stay, repeated rows count once, a repeated copy of another document goes."""
+    text = " ".join(f"word{i}" for i in range(40))
+    other, third = text.replace("word3", "x"), "quite another text of a few words only"
+    rows = [(1, text), (2, text), (2, text), (3, third), (3, other + " and much more of it " * 9), (4, "one of a kind"), (4, "one of a kind"), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    want = [(1, text), (3, third), (3, other + " and much more of it " * 9), (4, "one of a kind"), (None, text), (None, text)]
+    assert sorted(got, key=str) == sorted(want, key=str)
