@@ -13,21 +13,23 @@ written under a name that depends on the shard alone, and renamed when complete,
 repeated task replaces a file by an equal one.
 
 Null texts count as empty. A null doc_id sorts first and is kept. Repeated rows are
-kept, each as a document of its own.
+kept, each as a document of its own. An empty table has no files and an empty result. Further
+columns are not read, whatever their names. Texts of any length are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -38,12 +40,24 @@ MAGIC = b"DACIDS01"
 CHUNK_BITS = 8
 BLOCK = 512
 CACHE_ROWS = 500_000
+CHUNK_BYTES = 4 << 20
 #: A shard is closed after this many ids, so files stay below about 40 MB.
 SHARD_IDS = 16_000_000
 #: Letters that have one small form and are never part of a combination, and marks that are no apostrophe.
 LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+")
 MARKS = '.,;:!?|#$%&*()"'
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: A word of such letters and marks.
+SHAPE = "^(?P<core>" + LETTERS.pattern + ")(?P<mark>[" + re.escape(MARKS) + "]*)$"
+#: Steps of a tokenizer file whose texts may be cut at white space, as such a file states them.
+CUTTABLE = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+_SPACE = re.compile(r"\s")
+_ODD_SPACE = "[\x1c-\x1f]"
 _bits_of = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint32)
 
 
@@ -143,74 +157,135 @@ class Shard:
         return self.codes.slice(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-class CachedTokenizer:
-    """Ids by the tokenizers library, with the ids of white-space separated parts remembered.
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges of the values, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
 
-    The vocabulary drops white space before it cuts words, so a text's ids are those of
-    its parts in a row. Texts with one of the four separators that Python and the
-    library treat differently are encoded whole. The vocabulary also ignores case and
-    never joins letters with what follows them, so a part of common letters and trailing
-    punctuation has the ids of its small letters and of its punctuation. When a cache
-    is full, its older half goes.
-    """
 
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
-        self.library = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def _library(self, words: list[str], into: dict[str, bytes]) -> None:
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            for word, coded in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                into[word] = array("I", coded.ids).tobytes()
-
-    def _fill(self, wanted: list[str]) -> None:
-        """Add the parts to the cache."""
-        words, cores = self.words, self.cores
-        shapes, plain, new = [], [], set()
-        for word in wanted:
-            letters = word.rstrip(MARKS)
-            if letters and (letters.isascii() and letters.isalpha() or LETTERS.fullmatch(letters)):
-                mark = word[len(letters):]
-                letters = letters.lower()
-                shapes.append((word, letters, mark))
-                if letters not in cores:
-                    new.add(letters)
-                if mark not in cores:
-                    new.add(mark)
-            else:
-                plain.append(word)
-        self._library(list(new), cores)
-        for word, letters, mark in shapes:
-            words[word] = cores[letters] + cores[mark]
-        self._library(plain, words)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [[t] if _ODD_SPACE.search(t) else t.split() for t in texts]
-        for cache in (self.words, self.cores):
-            if len(cache) > CACHE_ROWS:
-                for old in list(islice(cache, CACHE_ROWS // 2)):
-                    del cache[old]
-        got = self.words
-        missing = [w for w in set().union(*parts) if w not in got]
-        self._fill(missing)
-        find = got.__getitem__
-        out = [b"".join(map(find, words)) for words in parts]
-        for word in missing:
-            if len(word) > 64:
-                del got[word]
-                self.cores.pop(word.rstrip(MARKS).lower(), None)
-        return out
+def cuts_at_spaces(config: dict) -> bool:
+    """Whether a tokenizer file is of the kind whose texts may be cut at white space.
 
+    Its steps must be the ones of ``CUTTABLE``, which drop white space, ignore case and never join letters with what
+    follows them, and its added tokens must hold a character that is no letter, mark or white space.
+    """
+    model = config["model"]
+    plain = model.get("type") == "BPE" and not model.get("dropout") and model.get("end_of_word_suffix") == "</w>"
+    added = [t["content"] for t in config.get("added_tokens", [])]
+    own = all(not _SPACE.search(t) and LETTERS.sub("", t).strip(MARKS) for t in added)
+    return plain and own and {k: config.get(k) for k in CUTTABLE} == CUTTABLE
 
-_tokenizers: dict[str, CachedTokenizer] = {}
 
+class PartTokenizer:
+    """Ids by the tokenizers library, with the ids of parts of words remembered.
 
-def tokenizer(path: str) -> CachedTokenizer:
+    Where the tokenizer file allows it (``cuts_at_spaces``), texts are cut at white space, and only the distinct words
+    of a chunk of texts are looked at: one of common letters and trailing marks has the ids of its small letters and
+    of its marks. New letter parts are encoded many at a time as one text, which the ids that end a word cut again.
+    Texts with one of the four separators that Python and the library treat differently, and all texts of other
+    tokenizer files, are encoded whole. When the cache is full, its older half goes.
+    """
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
+        self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        self.cuts = cuts_at_spaces(config)
+        if self.cuts:
+            vocabulary = config["model"]["vocab"]
+            self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.slots: dict[str, int] = {}
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, and their number by text."""
+        ids = [np.array(c.ids, np.uint32) for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.array([len(i) for i in ids], np.int64)
+
+    def _letters(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts of letters, as one text."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts):  # a letter without an id of its own
+            return self._whole(parts)
+        return ids, np.diff(ends, prepend=0)
+
+    def _find(self, parts: list[str], letters: bool) -> np.ndarray:
+        """The slot of each part; new ones are encoded."""
+        new = [p for p in parts if p not in self.slots]
+        ids, sizes = [self.ids], [np.diff(self.starts)]
+        for at in range(0, len(new), 2048):
+            some = new[at:at + 2048]
+            found, counts = (self._letters if letters else self._whole)(some)
+            self.slots.update(zip(some, range(len(self.slots), len(self.slots) + len(some))))
+            ids.append(found), sizes.append(counts)
+        if new:
+            self.ids, self.starts = np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        return np.fromiter(map(self.slots.__getitem__, parts), np.int64, len(parts))
+
+    def _trim(self) -> None:
+        cut = len(self.slots) // 2
+        if len(self.slots) > CACHE_ROWS or len(self.ids) > 8 * CACHE_ROWS:
+            self.slots = {part: slot - cut for part, slot in islice(self.slots.items(), cut, None)}
+            self.ids, self.starts = self.ids[self.starts[cut]:].copy(), self.starts[cut:] - self.starts[cut]
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``_whole`` by the words of the texts."""
+        self._trim()
+        lists = pc.utf8_split_whitespace(texts)
+        coded = lists.values.dictionary_encode()
+        distinct, at = coded.dictionary, coded.indices.to_numpy()
+        shape = pc.extract_regex(distinct, SHAPE)
+        cut = shape.is_valid().to_numpy(zero_copy_only=False)
+        rest, marks = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+        shape = shape.drop_null()
+        for name, into in (("core", rest), ("mark", marks)):
+            part = (pc.utf8_lower(shape.field(name)) if name == "core" else shape.field(name)).dictionary_encode()
+            into[cut] = self._find(part.dictionary.to_pylist(), name == "core")[part.indices.to_numpy()]
+        rest[~cut] = self._find(distinct.filter(pa.array(~cut)).to_pylist(), False)
+        marks[~cut] = self._find([""], False)[0]
+        both = np.stack([rest, marks], axis=1).ravel()
+        sizes = np.diff(self.starts)[both]
+        ids = _gather(self.ids, self.starts[both], sizes)
+        sizes = sizes.reshape(-1, 2).sum(1)
+        places, sizes = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        before = np.concatenate([[0], np.cumsum(sizes)])[lists.offsets.to_numpy()]
+        return _gather(ids, places, sizes), np.diff(before)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, and their number by text. Null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, _ODD_SPACE).to_pylist() if self.cuts else [True] * len(texts)
+        found, at = [(np.empty(0, np.uint32), np.empty(0, np.int64))], 0
+        for odd, rows in groupby(whole):
+            some = texts.slice(at, sum(1 for _ in rows))
+            at += len(some)
+            found.append(self._whole(some.to_pylist()) if odd else self._cut(some))
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([sizes for _, sizes in found])
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``CHUNK_BYTES`` of text; one longer text is a range of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).tolist()
+    start = total = 0
+    for row, size in enumerate(sizes):
+        if row > start and total + size > CHUNK_BYTES:
+            yield start, row
+            start, total = row, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+_tokenizers: dict[str, PartTokenizer] = {}
+
+
+def tokenizer(path: str) -> PartTokenizer:
     if path not in _tokenizers:
-        _tokenizers[path] = CachedTokenizer(path)
+        _tokenizers[path] = PartTokenizer(path)
     return _tokenizers[path]
 
 
@@ -232,29 +307,28 @@ def write_ids(df: DataFrame, tokenizer_path: str, end_id: int, folder: str | Non
         task = TaskContext.get().partitionId()
         docs: list[int | None] = []
         lengths: list[int] = []
-        pieces: list[bytes] = []
+        pieces: list[np.ndarray] = []
         files = total = 0
-        end = np.array([end_id], dtype="<u4").tobytes()
 
         def close() -> pa.RecordBatch:
             nonlocal files, total
             path = f"{folder}/shard-{task:06d}-{files:06d}.dac"
-            write_file(path, pack_shard(docs, lengths, np.frombuffer(b"".join(pieces), "<u4")))
+            ids = np.concatenate(pieces)
+            pieces.clear()
+            write_file(path, pack_shard(docs, lengths, ids))
             row = pa.RecordBatch.from_pydict(
                 {"shard": [task * 10**6 + files], "path": [path], "n_docs": [len(docs)], "n_tokens": [total]})
-            docs.clear(), lengths.clear(), pieces.clear()
+            docs.clear(), lengths.clear()
             files, total = files + 1, 0
             return row
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, coded in zip(part.column(0).to_pylist(), tokenizer(tokenizer_path).encode(texts)):
-                    docs.append(doc)
-                    pieces.extend((coded, end))
-                    lengths.append(len(coded) // 4 + 1)
-                    total += lengths[-1]
+            for first, past in _chunks(batch.column(1)):
+                ids, sizes = tokenizer(tokenizer_path).encode(batch.column(1).slice(first, past - first))
+                docs.extend(batch.column(0).slice(first, past - first).to_pylist())
+                lengths.extend((sizes + 1).tolist())
+                pieces.append(np.insert(ids, np.cumsum(sizes), np.uint32(end_id)))
+                total += len(pieces[-1])
                 if total >= SHARD_IDS:
                     yield close()
         if docs:

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import zstandard
@@ -39,13 +40,44 @@ def test_codes_are_directly_addressable():
             assert codes.slice(start, end).tolist() == ids[start:end].tolist()
 
 
-def test_tokenizer_cache_is_exact():
-    path = public_tokenizers.path("word_bpe_49k.json")
-    library, cached = Tokenizer.from_file(path), token_codes.CachedTokenizer(path)
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_tokenizer_cache_is_exact(name, monkeypatch):
+    monkeypatch.setattr(token_codes, "CACHE_ROWS", 300)
+    path = public_tokenizers.path(name)
+    library, cached = Tokenizer.from_file(path), token_codes.PartTokenizer(path)
+    assert cached.cuts == (name == "word_bpe_49k.json")
+    words = ["Hello, World!", "  two  words ", 'don\'t "stop" (now).', "ÀÉÎ straße Æther", "x" * 200, "\x1cab c\x1f", "12,345.67", "<|endoftext|>", ".,;"]
     for seed in range(4):
-        some = texts(seed, 200)
-        for text, got in zip(some, cached.encode(some)):
-            assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+        some = texts(seed, 200) + words + [None, ""]
+        ids, sizes = cached.encode(pa.array(some))
+        ends = np.cumsum(sizes)
+        for text, end, size in zip(some, ends, sizes):
+            assert ids[end - size:end].tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+    assert [len(x) for x in cached.encode(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_every_code_point_between_words():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    cached = token_codes.PartTokenizer(path)
+    chars = [chr(c) for c in range(0x3100) if not 0xd800 <= c < 0xe000]
+    for form in ("a%sb", "Ab.%s", "x %sy"):
+        some = [form % c for c in chars]
+        ids, sizes = cached.encode(pa.array(some))
+        ends = np.cumsum(sizes)
+        for text, end, size, want in zip(some, ends, sizes, cached.library.encode_batch_fast(some, add_special_tokens=False)):
+            assert ids[end - size:end].tolist() == want.ids, text
+
+
+def test_other_vocabulary_in_files(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    values = EDGES + texts(5, 20)
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    rows = token_codes.read_ids(token_codes.write_ids(df, path, end_id=2, parts=2)).collect()
+    assert len(rows) == len(values)
+    for row in rows:
+        want = np.array([*library.encode(values[row["doc_id"]] or "", add_special_tokens=False).ids, 2], "<u4")
+        assert bytes(row["ids"]) == want.tobytes()
 
 
 def test_token_files(spark, monkeypatch):
