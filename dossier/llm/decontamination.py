@@ -43,15 +43,22 @@ UNITS = ("kilometers kilometres meters metres centimeters millimeters miles feet
 
 
 def marked_words(text: Column) -> Column:
-    """Words with slots marked: 01, the type (D, N, U, or M for a large first letter at the start of a sentence), and the value."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "(" + UNSPACED + ")", " $1 ")
-    t = F.regexp_replace(t, r"[\s\p{Z}\x01\x02\x85]+", " ")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})", "\x01N")
-    t = F.regexp_replace(t, r'(?<![^ \p{Ps}\p{Pi}"*_>])(?=\p{Lu}\p{Ll})', "\x01M")
-    t = F.regexp_replace(t, r"(?<![\x01\p{L}\p{N}])(?=\p{N})", "\x01D")
-    t = F.regexp_replace(F.lower(t), r"(\x01d[\p{N}.,:/-]*) ?(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])", "$1 \x01u$2")
-    t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}\s\x01]+", ""), r"\s+", " "))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    """Words with slots marked: 01, the type (D, N, U, or M for a large first letter at the start of a sentence), and the value.
+
+    Each pattern begins with what is rare in a text, and passes are left out for texts that they cannot change.
+    """
+    text = F.coalesce(text, F.lit(""))
+    t = F.when(F.octet_length(text) == F.length(text), text).otherwise(F.regexp_replace(text, "(" + UNSPACED + ")", " $1 "))
+    gap = r"\s\p{Z}\x01\x02\x85"
+    t = F.regexp_replace(t, f"(?: (?=[{gap}])|[{gap}&&[^ ]])[{gap}]*", " ")
+    t = F.regexp_replace(t, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}\p{N},;] )", "\x01N")
+    t = F.regexp_replace(t, r'(?=\p{Lu}\p{Ll})(?<![^ \p{Ps}\p{Pi}"*_>])', "\x01M")
+    t = F.lower(F.regexp_replace(t, r"(?=\p{N})(?<![\x01\p{L}\p{N}])", "\x01D"))
+    # Named once, as the condition would make it anew otherwise.
+    t = F.transform(F.array(t), lambda t: F.when(F.contains(t, F.lit("\x01d")), F.regexp_replace(
+        t, r"(\x01d[\p{N}.,:/-]*) ?(" + "|".join(UNITS) + r")(?![\p{L}\p{N}])", "$1 \x01u$2")).otherwise(t))[0]
+    t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}\s\x01]+", ""), r"\s(?=\s)", ""))
+    return F.array_remove(F.split(t, " "), "")
 
 
 def _value(word: Column) -> Column:
@@ -69,9 +76,9 @@ def plain(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.startswith("\x01"), _value(w)).otherwise(w))
 
 
-def word_hashes(words: Column) -> Column:
-    """Hashes of 59 bits, so that those of a window add up without overflow."""
-    return F.transform(words, lambda w: F.shiftrightunsigned(F.xxhash64(w), 5))
+def word_hash(word: Column) -> Column:
+    """A hash of 59 bits, so that those of a window add up without overflow."""
+    return F.shiftrightunsigned(F.xxhash64(word), 5)
 
 
 def window_sums(hashes: Column, width: int) -> Column:
@@ -102,9 +109,17 @@ def hashed_words(words: Column) -> dict[str, Column]:
 
     A text without a slot of the first kind has t equal to x; t is null then, and so is f in a text without any slot.
     """
-    inner = F.exists(words, lambda w: w.startswith("\x01") & ~w.startswith("\x01m"))
-    every = F.exists(words, lambda w: w.startswith("\x01"))
-    return {"x": word_hashes(plain(words)), "t": F.when(inner, word_hashes(template(words))), "f": F.when(every, word_hashes(template(words, True)))}
+    mark = lambda w: w.startswith("\x01")
+    first = lambda w: w.startswith("\x01m")
+    slot = lambda w: word_hash(F.substring(w, 1, 2))
+    value = lambda w: word_hash(_value(w))
+    start = F.lit("\x01n")
+    return {
+        "x": F.transform(words, lambda w: F.when(mark(w), value(w)).otherwise(word_hash(w))),
+        "t": F.when(F.exists(words, lambda w: mark(w) & ~first(w)), F.transform(
+            words, lambda w: F.when(mark(w), F.when(first(w), value(w)).otherwise(slot(w))).otherwise(word_hash(w)))),
+        "f": F.when(F.exists(words, mark), F.transform(
+            words, lambda w: F.when(mark(w), F.when(first(w), word_hash(start)).otherwise(slot(w))).otherwise(word_hash(w))))}
 
 
 def any_window_sums(hashes: Column, width: Column) -> Column:
