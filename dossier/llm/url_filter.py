@@ -10,7 +10,7 @@ Templates: each host has a tree of path segments.
 2. Below each node (host and the path so far), if the distinct segments are many and
    few of them repeat, all become one wildcard: the node's children are variable.
 3. Sibling branches of a node whose labelled shares do not differ by a two-proportion
-   test are merged: they take the pooled share.
+   test are merged: they take the pooled share. A branch without labels has no share and is not merged.
 4. A template is rejected if the smoothed share of blocked labels of its merged branch exceeds
    ``REJECT``. It is pulled towards its host's share (and that towards the share of all labels), but
    to ``REJECT`` at most: only labels of the branch reject, one without labels is undecided and allowed.
@@ -20,7 +20,8 @@ are aggregates over (host, node, segment), combined before they are shuffled, so
 host with a third of all rows is spread over its segments; counts are written before
 they are joined, so the adaptive skew join can split the rows of a hot host.
 
-A null URL, or one without ``://``, has an empty host and path. Empty tables give empty results.
+A null URL, or one without ``://``, has an empty host and path. Empty tables give empty results. Repeated rows are judged
+each and count each. Of rules of equal length the smaller one by (host, path, verdict) wins. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def purity(paths: DataFrame) -> DataFrame:
     ratio = lambda a, b: F.try_divide(a, F.col(b) if isinstance(b, str) else b)
     share, rest, both = ratio(F.col("blocked"), "labelled"), ratio(rest_b, rest_n), ratio(F.col("pb"), "pl")
     spread = F.sqrt(both * (1 - both) * (ratio(F.lit(1.0), "labelled") + ratio(F.lit(1.0), rest_n)))
-    alike = F.coalesce((F.col("labelled") == 0) | (F.abs(share - rest) <= ALIKE * spread), F.lit(False))
+    alike = F.coalesce(F.abs(share - rest) <= ALIKE * spread, F.lit(False))  # null, so false, without labels
     host_share = (F.col("hb") + PRIOR * everything) / (F.col("hl") + PRIOR)
     merged = (level.join(pooled, ["host", "parent"]).join(hosts, "host")
               .withColumn("ml", F.when(alike, F.col("pl")).otherwise(F.col("labelled")))

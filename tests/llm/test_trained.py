@@ -133,6 +133,20 @@ def test_url_branches_without_labels_are_allowed(spark):
     assert {got[f"http://a.com/en/page/{i}"] for i in range(30)} == {"allow"}
     assert got["http://b.net/x/bad/7"] == "block"
 
+
+def test_url_branch_takes_no_labels_of_its_siblings(spark):
+    """Also repeated rows, a long path, clashing columns, and rules of equal length."""
+    rows = [f"http://s.net/{d}/{w}" for d in "abcde" for w in ("one", "two", "three")] * 2 + ["http://s.net/" + "e/" * 3000]
+    df = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(rows)], "page_id long, url string, template string, known string")
+    rules = [("s.net", f"/{d}/", "block") for d in "abcd"]
+    got = url_filter.judge(df, rules).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["verdict"] == ("allow" if r["path"].startswith("/e/") else "block"), r
+    tie = url_filter.judge(df, [("s.net", "/a/", "block"), ("s.net", "/a/", "allow")]).filter("path like '/a/%'").collect()
+    assert {r["verdict"] for r in tie} == {"allow"}
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1><p>tag line</p></header><nav><a href=x>Home</a></nav>
 <div class="cookie-notice"><p>We use cookies on this site.</p></div><main><article><h1>Title &amp; more</h1><p>First   para
  with <b>bold</b> &lt;text&gt;.</p><script>var a = "<p>no</p>";</script><!-- <p>no</p> --><aside class="related"><p>Related things</p></aside>
