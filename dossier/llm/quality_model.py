@@ -80,17 +80,16 @@ class QualityModel:
         return (self.vectors @ (self.layer[1] - self.layer[0])).astype(np.float64)
 
 
-def fit_arrays(samples: list[tuple[np.ndarray, int]], share: float, seed: int = 7) -> QualityModel:
-    """Train on (features, label) pairs; ``share`` is the share of label 1 in all training labels."""
+def fit_arrays(samples: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: int = 7) -> QualityModel:
+    """Train on (distinct features, their counts, label); ``share`` is the share of label 1 in all training labels."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     layer = np.zeros((2, DIMENSIONS), dtype=np.float32)
     layer[1] = rng.uniform(-0.5, 0.5, DIMENSIONS)
     bags = []
-    for found, label in samples:
-        ids, counts = np.unique(found.astype(np.int32), return_counts=True)
+    for ids, counts, label in samples:
         if len(ids):
-            bags.append((ids, (counts / counts.sum()).astype(np.float32), label))
+            bags.append((ids.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
     steps, done = max(1, EPOCHS * len(bags)), 0
     for _ in range(EPOCHS):
         for at in rng.permutation(len(bags)):
@@ -106,7 +105,7 @@ def fit_arrays(samples: list[tuple[np.ndarray, int]], share: float, seed: int =
             layer -= rate * np.outer(gradient, mean)
             # The mean divides the step among thousands of features; scaling it back keeps them moving.
             vectors[ids] -= (rate * 20 * weight)[:, None] * back
-    labels = np.array([label for _, label in samples])
+    labels = np.array([label for _, _, label in samples])
     balance = (labels.sum() + 1) / (len(labels) + 2) if len(labels) else share
     shift = np.log(share / (1 - share)) - np.log(balance / (1 - balance))
     return QualityModel(vectors, layer, float(shift), share)
@@ -114,7 +113,10 @@ def fit_arrays(samples: list[tuple[np.ndarray, int]], share: float, seed: int =
 
 def fit(documents: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
         sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Fit on the labelled documents. ``labels`` should hold training rows only."""
+    """Fit on the labelled documents. ``labels`` should hold training rows only.
+
+    A document sends its distinct features and their counts, at most ``BUCKETS`` of each, however long it is.
+    """
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
@@ -134,13 +136,15 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", key: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(raw).astype("<u2").tobytes() for raw in text_bytes(batch.column("t"))]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array(found, pa.binary())], ["k", "y", "f"])
+            found = [np.unique(features(raw), return_counts=True) for raw in text_bytes(batch.column("t"))]
+            ids = pa.array([f.astype("<u2").tobytes() for f, _ in found], pa.binary())
+            counts = pa.array([n.astype("<u4").tobytes() for _, n in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), ids, counts], ["k", "y", "f", "n"])
 
-    schema = T.StructType([joined.schema["k"], joined.schema["y"], T.StructField("f", T.BinaryType())])
+    schema = T.StructType([joined.schema["k"], joined.schema["y"], T.StructField("f", T.BinaryType()), T.StructField("n", T.BinaryType())])
     rows = joined.mapInArrow(run, schema).toLocalIterator()
-    samples = sorted(((r["k"], r["y"], bytes(r["f"])) for r in rows))
-    return fit_arrays([(np.frombuffer(f, "<u2"), y) for _, y, f in samples], share)
+    samples = sorted(((r["k"], r["y"], bytes(r["f"]), bytes(r["n"])) for r in rows))
+    return fit_arrays([(np.frombuffer(f, "<u2"), np.frombuffer(n, "<u4"), y) for _, y, f, n in samples], share)
 
 
 def score(documents: DataFrame, model: QualityModel, text: str = "text", keep: list[str] | None = None,
