@@ -38,6 +38,25 @@ def test_quality_odd_rows(spark):
     assert (again[0] == again[1]).all()
 
 
+def test_quality_scores_equal_the_unfolded_softmax(spark):
+    """Word by word in Python, through vectors, mean and softmax, also with a column named score."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60").select("doc_id", "text", F.lit("x").alias("score"))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality_model.fit(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(docs, model).collect()}
+    few = [r for r in docs.collect() if r["text"]]
+    for r in few:
+        vectors = model.vectors[quality_model.features(np.frombuffer(r["text"].encode(), np.uint8))]
+        out = model.layer @ vectors.mean(0)
+        out[1] += model.shift
+        out = np.exp(out - out.max())
+        assert abs(out[1] / out.sum() - got[r["doc_id"]]) < 1e-4
+    words = few[0]["text"].split()[:30]
+    pairs = sum(max(0, len(words) - back) for back in range(1, 5))
+    text = " ".join(words).encode()
+    assert len(quality_model.features(np.frombuffer(text, np.uint8))) == len(text) - 3 + len(words) + pairs
+
+
 def brute_spans(text):
     """The fixed patterns on characters."""
     spans = []
