@@ -102,6 +102,44 @@ def test_markov_models_find_random_strings(spark):
     assert clean[150] == "[SECRET]" and clean[0] == plain[0] and sum(t == "value [SECRET] end" for t in clean[200:]) >= 28
 
 
+def test_short_keys_paths_and_ordinary_forms(spark):
+    """Keys of 16 characters, keys without digits and keys in paths are found; names, dates and UUIDs are not; the given texts hold none."""
+    rng = random.Random(9)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    short = [key(16, chars) for _ in range(200)]
+    letters = [key(24, chars[:52]) for _ in range(200)]
+    paths = [key(24, chars) for _ in range(200)]
+    plain = ["2024-01-15T10-22-33-build", "total_number_of_rows_2024", "550e8400-e29b-41d4-a716-446655440000", "getUserNameFromRequest", "1234567890123456789",
+             "internationalization", "HTTPServerRequestHandler", "2024/11/03/the-other-post-title", "=" * 80, "-" * 80, "A" * 60]
+    cases = [f"of {k} and" for k in short + letters] + [f"/services/hooks/{k}/the_long_name" for k in paths] + plain
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(cases)], "doc_id long, text string, secrets int")
+    ratio = secret_scan.train(docs)
+    got = {r["doc_id"]: [r["text"][s["start"]:s["end"]] for s in r["secrets"]] for r in
+           secret_scan.scan(df, ratio, keep=["doc_id", "text"]).collect()}
+    hit = lambda at, keys: np.mean([got[at + i] == [k] for i, k in enumerate(keys)])
+    assert hit(0, short) > 0.85 and hit(200, letters) > 0.9
+    assert all(len(got[400 + i]) == 1 and k in got[400 + i][0] and len(got[400 + i][0]) < 40 for i, k in enumerate(paths))
+    assert [got[600 + i] for i in range(len(plain))] == [[] for _ in plain]
+    assert secret_scan.scan(docs, ratio).filter("exists(secrets, s -> s.kind = 'random')").count() == 0
+
+
+def test_stretches_against_every_split():
+    """The largest gain is that of all stretches without an inner fall of more than the margin."""
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        gain = rng.normal(0, 8, rng.integers(1, 30))
+        found = secret_scan.stretches(gain)
+        sums = np.concatenate(([0], np.cumsum(gain)))
+        falls = lambda part: (np.maximum.accumulate(part) - part).max() > secret_scan.MARGIN
+        best = max(sums[j] - sums[i] for i in range(len(sums)) for j in range(i, len(sums)) if not falls(sums[i:j + 1]))
+        assert bool(found) == bool(best > secret_scan.MARGIN)
+        if found:
+            assert abs(max(sums[b] - sums[a] for a, b in found) - best) < 1e-9
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
 def test_redact_merges_overlaps(spark):
     df = spark.sql("""SELECT 'é0123456789' AS text, array(named_struct('kind','a','start',1L,'end',4L), named_struct('kind','b','start',2L,'end',6L),
                       named_struct('kind','c','start',8L,'end',11L)) AS secrets UNION ALL SELECT null, null""")
