@@ -9,12 +9,16 @@ document. Blocks labelled as article text are joined by line ends.
 The labeller is trained on a bounded sample of pages (``SAMPLE_PAGES``, in the order of a
 hash of the key). Their labels come from semantic containers, once known: text inside
 ``article`` or ``main`` counts, unless it lies in navigation, headers, footers, asides,
-forms, or containers named like notices, adverts, sidebars or comments. So that it sees
-such containers, training pages get further ones with words of the page inside.
+forms, or containers named like notices, adverts, sidebars or comments. The labels come from
+these tags, the vectors must not: on training pages they give way to neutral containers or
+disappear, names of other containers are taken away or replaced by unknown ones, so that the order of blocks,
+their words, links, sizes and neighbours have to decide. So that it sees
+other containers, training pages get further ones with words of the page inside.
 
-Scripts, styles, templates, comments and the head are no blocks. Character references
+Scripts, styles, templates, fields of forms, comments and the head are no blocks. Character references
 are decoded, white space inside a block becomes one space. Null and empty pages give
-empty text.
+empty text, an empty table an empty one. Repeated pages are read each, very long ones in batches of their own;
+blocks at 0.5 count as article. Of further columns, one named like the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -45,7 +49,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S | re.I)
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: Elements whose text is never shown.
-HIDDEN_TEXT = {"script", "style", "template", "noscript", "title", "textarea", "svg", "iframe", "object", "select", "button"}
+HIDDEN_TEXT = {"script", "style", "template", "title", "textarea", "iframe", "select", "button"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
              "time tt u var br wbr img".split())
@@ -296,13 +300,27 @@ def padded(pages: list[tuple[np.ndarray, np.ndarray | None]]) -> tuple[np.ndarra
 
 #: Containers that training pages get besides their own.
 EXTRA_INSIDE = ["aside", "form", "div.advert", "div.ad", "div.related", "div.share-buttons", "section.comments", "div.newsletter-signup",
-                "ul.comment-list", "div.promo", "figure.ad-slot"]
+                "ul.comment-list", "div.promo", "figure.ad-slot", "noscript"]
 EXTRA_OUTSIDE = ["header", "footer", "aside.sidebar", "div.cookie-notice", "nav.breadcrumb", "div.sidebar", "section#comments", "div.banner",
                  "div.comments", "form.search", "div.notice", "div.menu", "div#footer", "div#header", "aside.related", "div.widget",
-                 "ol.comment-list", "div.subscribe", "div.popup", "div.social"]
+                 "ol.comment-list", "div.subscribe", "div.popup", "div.social", "noscript", "nav", "div.ad", "nav ul"]
 LEAVES = ["p", "ul li", "ol li", "h2", "h3", "blockquote p", "div p", "table tr td", "section p", "pre", "figure figcaption", "dl dd", "div"]
 SHELLS = ["article", "main", "main article", "div.page article", "div#content article.post", "main section", "div.wrapper main.content article",
-          "body2 article.entry"]
+          "body2 article.entry", "div", "div div", "", "section", "table tr td", "div section", "div div div"]
+#: Names of containers that say nothing.
+NEUTRAL = ["div", "div", "section", "td", "center"]
+
+
+def masked(path: tuple[str, ...], tag: str, name: str) -> tuple[str, ...]:
+    """The path with ``tag`` instead of ``article`` and ``main``, or without them, and with a name that says nothing."""
+    out = []
+    for sign in path:
+        if sign.split(" ")[0] in ("article", "main"):
+            if tag:
+                out.append(f"{tag} {name}" if name else tag)
+        else:
+            out.append(sign)
+    return tuple(out)
 
 
 def training_pages(pages: list[str], seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -316,10 +334,14 @@ def training_pages(pages: list[str], seed: int = 5) -> list[tuple[np.ndarray, np
             continue
         labels = [weak_label(p) for p, _, _ in own]
         if any(labels):
-            out.append((vectors(own), np.array(labels, np.float32)))
+            truth_own = np.array(labels, np.float32)
+            out.append((vectors(own), truth_own))
+            for name in ("", f"x{rng.integers(1000)}"):
+                tag = [*NEUTRAL, ""][rng.integers(len(NEUTRAL) + 1)]
+                out.append((vectors([(masked(p, tag, name), t, n) for p, t, n in own]), truth_own))
         body = [b for b, y in zip(own, labels) if y] or own
         for _ in range(2):
-            shell = tuple(sign(s) for s in SHELLS[rng.integers(len(SHELLS))].split(" "))
+            shell = tuple(sign(s) for s in SHELLS[rng.integers(len(SHELLS))].split())
             mixed: list[tuple[tuple[str, ...], str, int]] = []
             truth: list[int] = []
 

@@ -233,6 +233,24 @@ def test_html_main_text(spark):
     assert html_blocks.fit(odd.limit(0)) is not None
 
 
+def test_html_main_text_without_article_tags(spark):
+    """Other containers, unknown names, no container at all: the text stays the same; clashing columns, repeated and empty rows."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    model = html_blocks.fit(pages)
+    rows = pages.orderBy("page_id").collect()
+    want = [by_regex(r["html"]) for r in rows]
+    container = re.compile(r"<(/?)(?:article|main)\b[^>]*>")
+    changes = {"div": r"<\1div>", "section": r"<\1section>", "td": r"<\1td>", "none": ""}
+    for name, tag in changes.items():
+        df = spark.createDataFrame([(r["page_id"], container.sub(tag, r["html"]), "t", "h") for r in rows],
+                                   "page_id long, html string, text string, path string")
+        got = [r["text"] for r in html_blocks.extract(df, model).orderBy("page_id").collect()]
+        assert np.mean([a == b for a, b in zip(got, want)]) >= 0.95, name
+    named = [container.sub(lambda m: "</div>" if m[1] else '<div class="kx92">', r["html"]) for r in rows]
+    found = ["\n".join(t for t, s in r if s >= 0.5) for r in html_blocks.label(named, model)]
+    assert np.mean([a == b for a, b in zip(found, want)]) >= 0.95
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     model = html_blocks.Labeller()
