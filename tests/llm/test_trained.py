@@ -204,6 +204,86 @@ def test_url_branch_takes_no_labels_of_its_siblings(spark):
     assert {r["verdict"] for r in tie} == {"allow"}
 
 
+def brute_tree(paths):
+    """Templates of (host, forms) by recursion from the root, then purity of (host, template), by the docstring's words."""
+    template = {}
+
+    def walk(members, depth, done):
+        for key in [k for k in members if len(k[1]) == depth]:
+            template[key] = "/".join(done)
+        deeper = {}
+        for k in members:
+            if len(k[1]) > depth:
+                deeper.setdefault(k[1][depth], []).append(k)
+        rows = sum(paths[k][0] for ks in deeper.values() for k in ks)
+        if len(deeper) >= 20 and len(deeper) >= 0.5 * rows:
+            deeper = {"{any}": [k for ks in deeper.values() for k in ks]}
+        for segment, ks in deeper.items():
+            walk(ks, depth + 1, [*done, segment])
+
+    for host in {h for h, _ in paths}:
+        walk([k for k in paths if k[0] == host], 0, [])
+    stats = {}
+    for key, counts in paths.items():
+        at = stats.setdefault((key[0], template[key]), [0, 0, 0])
+        for i, c in enumerate(counts):
+            at[i] += c
+    every = (sum(s[2] for s in stats.values()) + 1) / (sum(s[1] for s in stats.values()) + 2)
+    purity = {}
+    for (host, name), (_, labelled, blocked) in stats.items():
+        same = [s for (h, _), s in stats.items() if h == host]
+        prior = min(0.5, (sum(s[2] for s in same) + 5 * every) / (sum(s[1] for s in same) + 5))
+        group = (0, 0)
+        if labelled:
+            family = {}
+            for (h, t), (_, l, b) in stats.items():
+                if h == host and t.rpartition("/")[0] == name.rpartition("/")[0] and l:
+                    old = family.get(64 * b // l, (0, 0))
+                    family[64 * b // l] = (old[0] + l, old[1] + b)
+            sets = []
+            for bin_ in sorted(family):
+                l, b = family[bin_]
+                if sets:
+                    _, l0, b0 = sets[-1]
+                    p = (b + b0) / (l + l0)
+                    if abs(b / l - b0 / l0) <= 1.96 * (p * (1 - p) * (1 / l + 1 / l0)) ** 0.5:
+                        sets[-1] = ([*sets[-1][0], bin_], l + l0, b + b0)
+                        continue
+                sets.append(([bin_], l, b))
+            group = next((l, b) for bins, l, b in sets if 64 * blocked // labelled in bins)
+        purity[host, name] = (group[1] + 5 * prior) / (group[0] + 5)
+    return template, purity
+
+
+def test_url_tree_against_recursion(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = [f"http://a.net/user/{word()}/post/{word()}" for _ in range(60)]
+    rows += [f"http://a.net/{rng.choice('xyz')}/{rng.choice('abcdefghij')}/{rng.choice('pq')}" for _ in range(300)]
+    rows += [f"http://b.net/{word()}/{rng.choice('uvw')}/{rng.choice(['list', word()])}/{i % 3}" for i in range(120)]
+    rows += ["http://b.net", "http://b.net/", "http://c.net/only", "x", None]
+    rules = [("a.net", f"/{x}/{y}/", "block" if rng.random() < 0.5 else "allow") for x in "xy" for y in "abcdefgh"]
+    rules += [("a.net", "/x/a/p", "block"), ("a.net", "/x/b/q", "allow"), ("b.net", "/a", "block"), ("b.net", "/b", "allow")]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    paths = {}
+    for r in url_filter.split_urls(df, rules).collect():
+        at = paths.setdefault((r["host"], tuple(r["forms"])), [0, 0, 0])
+        for i, one in enumerate((True, r["known"] is not None, r["known"] == "block")):
+            at[i] += one
+    template, purity = brute_tree(paths)
+    forms = {r["page_id"]: (r["host"], tuple(r["forms"])) for r in url_filter.split_urls(df, rules).collect()}
+    got = url_filter.judge(df, rules).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        key = forms[r["page_id"]]
+        assert r["template"] == template[key], r
+        assert abs(r["purity"] - purity[key[0], template[key]]) < 1e-9, r
+        if r["rule"] is None:
+            assert r["verdict"] == ("block" if r["purity"] > 0.5 else "allow")
+    assert {r["template"] for r in got if r["path"].startswith("/user/")} == {"user/{any}/post/{any}"}
+    assert len({round(p, 6) for p in purity.values()}) > 4
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1><p>tag line</p></header><nav><a href=x>Home</a></nav>
 <div class="cookie-notice"><p>We use cookies on this site.</p></div><main><article><h1>Title &amp; more</h1><p>First   para
  with <b>bold</b> &lt;text&gt;.</p><script>var a = "<p>no</p>";</script><!-- <p>no</p> --><aside class="related"><p>Related things</p></aside>
