@@ -75,8 +75,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decoded", "round_trip")]
     digest = lambda c: F.sha2(F.encode(F.coalesce(c, F.lit("")), "UTF-8"), 256)
     sha = fresh(docs, "sha")
-    coded = piece_codec.encode(docs.select(*keep, "text", digest("text").alias(sha)), model, keep=[*keep, sha])
-    back = piece_codec.decode(coded, model)
+    back = piece_codec.round_trip(docs.select(*keep, "text", digest("text").alias(sha)), model, keep=[*keep, sha])
     return back.select(*keep, piece_codec.id_count("ids").alias("n_tokens"), "ids", (digest("decoded") == F.col(sha)).alias("round_trip"))
 
 

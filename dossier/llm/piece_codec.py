@@ -223,6 +223,10 @@ class PieceCodec:
         parts.append(array("I", [self.eos]).tobytes())
         return b"".join(parts)
 
+    def forget(self) -> None:
+        """Empty the caches, which an idle worker would keep beside other stages' work."""
+        self.fits, self.cache, self.older, self.lines = {}, {}, {}, {}
+
     def decode(self, packed: bytes) -> str:
         """Text of packed ids: marks become spaces, the first one of the text is dropped."""
         ids = np.frombuffer(packed, dtype="<u4").tolist()
@@ -240,29 +244,44 @@ def codec(model_path: str) -> PieceCodec:
     return _codecs[model_path]
 
 
-def _mapped(df: DataFrame, keep: list[str], source: str, out: str, kind: T.DataType, arrow: pa.DataType, make) -> DataFrame:
+def _mapped(df: DataFrame, keep: list[str], source: str, model_path: str, outs: list[tuple[str, T.DataType, pa.DataType]], make) -> DataFrame:
+    """Columns ``keep`` and the columns ``outs`` that ``make`` forms from the codec and a value of ``source``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = codec(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                values = pa.array([make(v.as_py()) for v in part.column(source)], arrow)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), values], [*keep, out])
+                values = list(zip(*(make(known, v.as_py()) for v in part.column(source)))) or [[] for _ in outs]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(v, kind) for v, (_, _, kind) in zip(values, outs))],
+                                                 [*keep, *(name for name, _, _ in outs)])
+        known.forget()
 
-    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, kind)])
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(name, kind) for name, kind, _ in outs])
     return df.select(*dict.fromkeys([*keep, source])).mapInArrow(run, schema)
 
 
+def round_trip(df: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: columns ``keep`` (all but the text by default), the packed ids and their text."""
+    keep = [c for c in df.columns if c not in (text, ids, out)] if keep is None else keep
+
+    def make(known: PieceCodec, value: str | None) -> tuple[bytes, str]:
+        packed = known.encode(value or "")
+        return packed, known.decode(packed)
+
+    return _mapped(df, keep, text, model_path, [(ids, T.BinaryType(), pa.binary()), (out, T.StringType(), pa.string())], make)
+
+
 def encode(df: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None, out: str = "ids") -> DataFrame:
     """Columns ``keep`` (all but the text by default) and the packed ids of each text."""
     keep = [c for c in df.columns if c != text and c != out] if keep is None else keep
-    return _mapped(df, keep, text, out, T.BinaryType(), pa.binary(), lambda t: codec(model_path).encode(t or ""))
+    return _mapped(df, keep, text, model_path, [(out, T.BinaryType(), pa.binary())], lambda known, t: (known.encode(t or ""),))
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", keep: list[str] | None = None, out: str = "decoded") -> DataFrame:
     """Columns ``keep`` (all by default) and the text of the packed ids; null ids give null."""
     keep = [c for c in df.columns if c != out] if keep is None else keep
-    return _mapped(df, keep, ids, out, T.StringType(), pa.string(),
-                   lambda p: None if p is None else codec(model_path).decode(p))
+    return _mapped(df, keep, ids, model_path, [(out, T.StringType(), pa.string())], lambda known, p: (None if p is None else known.decode(p),))
 
 
 def id_count(ids: str = "ids"):

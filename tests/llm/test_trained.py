@@ -4,11 +4,12 @@ import random
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dossier.llm import html_blocks, quality_model, secret_scan, url_filter
+from dossier.llm import html_blocks, piece_codec, quality_model, secret_scan, url_filter
 from dossier.llm.queries import QUERIES, URL_RULES
 from test_joins import roots, sets_of
 
@@ -401,6 +402,21 @@ def test_pipeline_stages(spark, corpus):
         assert none.collect() == []
 
 
+def test_round_trip_equals_encode_and_decode(spark):
+    """Also null, empty and repeated texts, a clashing column, an empty table; the caches are empty after a task."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = [(1, "two  words", "c"), (2, None, "c"), (3, "", "c"), (3, "", "c"), (4, "é漢🎉 " * 3000, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, decoded string")
+    got = piece_codec.round_trip(docs, model).orderBy("doc_id").collect()
+    want = piece_codec.decode(piece_codec.encode(docs.drop("decoded"), model), model).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want] and got[0].__fields__ == ["doc_id", "ids", "decoded"]
+    assert piece_codec.round_trip(docs.limit(0), model).collect() == []
+    known = piece_codec.PieceCodec(model)
+    first = known.encode("some words of a text")
+    known.forget()
+    assert not known.cache and known.encode("some words of a text") == first
+
+
 def test_quality_stage_follows_labels(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
