@@ -35,19 +35,17 @@ def coarse_to_text(spark, sf_dir):
     return _rounded(best.join(jobs, "target"), "score")
 
 
-def _idf(spark, sf_dir):
-    return written(term_weights.document_frequencies(table(spark, sf_dir, "documents")), "frequencies")
-
-
 def idf_table(spark, sf_dir):
-    return _rounded(_idf(spark, sf_dir), "idf")
+    return _rounded(written(term_weights.document_frequencies(table(spark, sf_dir, "documents")), "frequencies"), "idf")
 
 
 def idf_cosine(spark, sf_dir):
     """Cosine of each document with the text of the job it applies for, weighted by rarity of terms."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("job_title"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("job_title"), term_weights.terms_of(F.col("text")).alias("text"))
+    docs = written(docs, "terms")  # texts are split once, for the frequencies too
     jobs = base._jobs(spark, sf_dir).withColumnRenamed("job_text", "text")
-    return _rounded(term_weights.idf_cosine(docs, jobs, _idf(spark, sf_dir), "doc_id", "job_title"), "idf_cosine")
+    frequencies = written(term_weights.document_frequencies(docs), "frequencies")
+    return _rounded(term_weights.idf_cosine(docs, jobs, frequencies, "doc_id", "job_title"), "idf_cosine")
 
 
 def _tree_rows(spark, sf_dir):

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from dossier.operators import boosting, inference, retrieval, term_weights
+from dossier.session import written
 from dossier.sources import quarantine
 
 
@@ -80,6 +81,28 @@ def test_idf_cosine(spark, monkeypatch):
     assert len(got) == len(docs)
 
 
+def test_idf_cosine_writes_shared_terms_only(spark, monkeypatch):
+    rows = []
+
+    def counted(df, name):
+        out = written(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(term_weights, "written", counted)
+    docs = [(i, f"job{i % 2}", " ".join(["both", "both"] + [f"w{i}x{k}" for k in range(50)])) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, job string, text string")
+    jobs = spark.createDataFrame([("job0", "both other"), ("job1", "Both")], "job string, text string")
+    lists = df.withColumn("text", term_weights.terms_of(df["text"]))
+    frequencies = term_weights.document_frequencies(lists)
+    assert sorted(frequencies.collect()) == sorted(term_weights.document_frequencies(df).collect())
+    found = [{r["doc_id"]: round(r["idf_cosine"], 9) for r in term_weights.idf_cosine(d, jobs, frequencies, "doc_id", "job").collect()}
+             for d in (lists, df)]
+    rare = math.log(41 / 2) + 1
+    assert found[0] == found[1] == {i: round(1 / math.sqrt(1 + 50 * rare * rare), 9) for i in range(40)}
+    assert max(rows) == 40  # one row per shared term of a text, not one per term
+
+
 def test_boosted_iterations(spark):
     from pyspark.ml.linalg import Vectors
     rng = random.Random(9)
