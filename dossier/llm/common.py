@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dossier.session import work_dir, written
 
-__all__ = ["work_dir", "written", "table", "fresh", "write_file", "text_bytes", "words_of", "shingles", "components"]
+__all__ = ["work_dir", "written", "table", "fresh", "write_file", "text_bytes", "words_of", "shingles", "perhaps_in", "components"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +128,35 @@ def shingles(raw: np.ndarray, width: int) -> np.ndarray:
     return np.unique(total)
 
 
+#: Bits of the map that ``perhaps_in`` broadcasts, as powers of two: at least, at most (16 MB), and wanted for a key.
+BITS_LEAST, BITS_MOST, BITS_KEY = 21, 27, 16
+PAGE = 32768
+
+
+def perhaps_in(df: DataFrame, key: str, keys: DataFrame, out: str) -> DataFrame:
+    """Add ``out``, which is false only where ``key`` is surely not in the table ``keys`` (its column of that name).
+
+    Rows that are surely not there need no shuffle for a join; an exact join of the others has to follow. Each key
+    sets one bit of a map in pages, which is broadcast. The map's size is bounded: with many more keys
+    it rules out fewer rows. ``keys`` is read twice; write it first.
+    """
+    bits = 1 << min(BITS_MOST, max(BITS_LEAST, (BITS_KEY * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(bits))
+    paged = keys.select(F.floor(place / PAGE).alias("_page"), (place % PAGE).alias("_bit")).repartition("_page")
+    pages = paged.groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.substring("_bits", F.floor(place % PAGE / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int"))
+    found = df.withColumn("_page", F.floor(place / PAGE)).join(F.broadcast(pages), "_page", "left")
+    return found.select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias(out))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end ``u`` has one smaller end ``v``, which is no larger end itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("root")))
+    return ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("root").alias("root")).filter("leaf > 1 or leaf + root > 1").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges: one row (node, root) per node, root the smallest.
 
@@ -135,14 +164,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     then its smaller ones. The edges shrink to one star per component in a number of
     rounds that grows with the logarithm of the longest path. The smallest neighbour is
     an aggregate (combined map-side) that is written before it is joined, so the adaptive
-    skew join can split a hub. Each round's edges are written, which cuts the lineage.
+    skew join can split a hub. Each round's edges are written, which cuts the lineage; no round follows once they are stars.
     Null ends and loops are dropped; an isolated node is not listed.
     """
     edges = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v"))).distinct())
     edges = written(edges, "edges")
-    last = None
     for _ in range(most_rounds):
+        if _stars(edges):
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = (both.filter(F.col("v") > F.col("u")).join(least, "u")
@@ -153,10 +183,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(joined.select("u", F.col("m").alias("v"))))
         edges = written(small.filter("u > v").distinct(), "edges")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
-        if state == last:
-            break
-        last = state
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

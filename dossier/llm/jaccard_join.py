@@ -9,7 +9,7 @@ document with the smallest key reachable by links.
 2. Elimination: if x links with y, at most ``slack(x)`` of x's tokens are missing in y. So
    at most that many of its tokens in a fixed part of the hash space occur in no other set.
    Documents with more of them can have no link and drop out, before most tokens were
-   ever shuffled.
+   ever shuffled. A map of bits holds most of their texts back from the join that follows.
 3. The tokens left are ordered from rare to frequent. Rare ones (at most ``RARE`` documents)
    are indexed singly. For frequent classes the prefix is extended and k-token
    combinations are indexed: a class that gives n tokens to the prefix guards against
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.common import BASE, components, mix, shingles, text_bytes, written
+from dossier.llm.common import BASE, components, mix, perhaps_in, shingles, text_bytes, written
 
 #: Tokens in at most so many documents are indexed singly, others in pairs.
 RARE = 64
@@ -238,7 +238,7 @@ def similar(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
         .groupBy(F.col("class_id").alias("_k")).agg(F.min("set_key").alias("_set")), "alive")
 
     # 3. index of the documents left
-    texts = source.join(alive, "_k")
+    texts = perhaps_in(source, "_k", alive, "_may").filter("_may").drop("_may").join(alive, "_k")
     sets = written(token_sets(texts, "_k", "_t", width, only="_set").select("doc_id", "n", "tokens"), "sets")
     spread = sets.select("doc_id", "n", F.explode("tokens").alias("token"))
     counts = written(spread.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "counts")

@@ -6,8 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from dossier.llm import decontamination, jaccard_join, subspace_join
-from dossier.llm.common import components, shingles
+from dossier.llm import common, decontamination, jaccard_join, subspace_join
+from dossier.llm.common import components, shingles, written
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -235,3 +235,52 @@ def test_shuffled_words_are_no_match(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "eight seven six five four three two one"), (2, "so one two three four five six seven eight")], "doc_id long, text string")
     assert [r["doc_id"] for r in decontamination.matches(docs, items).collect()] == [2]
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    names = []
+
+    def counted(df, name):
+        names.append(name)
+        return written(df, name)
+
+    monkeypatch.setattr(common, "written", counted)
+    edges = spark.createDataFrame([(1, 5), (6, 1), (2, 7), (2, 2), (None, 3)], "a long, b long")
+    assert sorted(map(tuple, common.components(edges).collect())) == [(1, 1), (2, 2), (5, 1), (6, 1), (7, 2)]
+    assert names == ["edges"]
+    path = spark.createDataFrame([(i, i + 1) for i in range(1, 40)], "a long, b long")
+    assert {tuple(r) for r in common.components(path).collect()} == {(i, 1) for i in range(1, 41)}
+
+
+def test_perhaps_in_misses_no_key(spark, monkeypatch):
+    df = spark.range(20_000).selectExpr("id", "cast(id as int) as text").unionByName(spark.createDataFrame([(None, 1)], "id long, text int"))
+    keys = common.written(df.filter("id % 7 = 0").selectExpr("cast(id as int) as id"), "keys")
+    for most in (27, 15):
+        monkeypatch.setattr(common, "BITS_MOST", most)
+        got = common.perhaps_in(df, "id", keys, "may")
+        assert got.columns == ["id", "text", "may"] and got.count() == 20_001
+        assert got.filter("id % 7 = 0 and not may").count() == 0
+        assert 0 <= got.filter("may and id % 7 <> 0").count() < {27: 500, 15: 4_000}[most]
+    none = common.perhaps_in(df, "id", keys.limit(0), "may")
+    assert none.count() == 20_001 and none.filter("may").isEmpty()
+
+
+def test_few_texts_are_shuffled_for_near_duplicates(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from dossier.llm import jaccard_join
+
+    sent = []
+
+    def counted(df, key, keys, out):
+        found = common.perhaps_in(df, key, keys, out)
+        sent.append(found.filter(out).count())
+        return found
+
+    monkeypatch.setattr(corpus_pipeline, "perhaps_in", counted)
+    monkeypatch.setattr(jaccard_join, "perhaps_in", counted)
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(200)]
+    copies = [(1000 + i, texts[i][1]) for i in range(5)] + [(7, texts[7][1]), (8, "other words"), (None, "none"), (2000, None)]
+    docs = spark.createDataFrame(texts + copies, "doc_id long, text string")
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"] or "") for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect())
+    assert got == sorted(texts + [(8, "other words"), (-1, "none"), (2000, "")])
+    assert len(sent) == 2 and sum(sent) < 60  # of 209 rows each
