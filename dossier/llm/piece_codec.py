@@ -12,11 +12,15 @@ Pieces never contain a word mark after another character, so merges cannot cross
 border before a word mark. The text is cut there and the results per piece of text are
 cached, in a bounded table. Characters without a piece become their UTF-8 bytes.
 
+A Python worker holds a vocabulary, these tables and the results of one slice of rows, whatever the size of the
+texts' table. At the end of a task the tables are emptied and free memory goes back to the system.
+
 Null texts count as empty. Empty texts have the begin and end ids only.
 """
 
 from __future__ import annotations
 
+import ctypes
 import re
 from array import array
 from collections.abc import Iterator
@@ -24,14 +28,19 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-CACHE_ROWS = 500_000
-PAIR_ROWS = 1_000_000
+#: Words, lines and pairs of pieces that are remembered: some 80 MB of a Python worker at most.
+CACHE_ROWS = 65_536
+PAIR_ROWS = 262_144
+#: Rows whose results go out together, and bytes of the values they are made from.
+SLICE_ROWS = 512
+SLICE_BYTES = 1 << 20
 
 
 class PieceCodec:
@@ -187,7 +196,7 @@ class PieceCodec:
 
     def remembered(self, word: str) -> bytes:
         """Ids of a mark and a word, through a cache of two generations; the older goes when the newer is full."""
-        got = self.older.get(word) or self.segment(MARK + word)
+        got = self.cache.get(word) or self.older.get(word) or self.segment(MARK + word)
         if len(word) <= 64:
             if len(self.cache) >= CACHE_ROWS:
                 self.older, self.cache = self.cache, {}
@@ -224,8 +233,12 @@ class PieceCodec:
         return b"".join(parts)
 
     def forget(self) -> None:
-        """Empty the caches, which an idle worker would keep beside other stages' work."""
+        """Empty the caches and give free memory back, which an idle worker would keep beside other stages' work."""
         self.fits, self.cache, self.older, self.lines = {}, {}, {}, {}
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only; others have no such call
+        if trim:
+            trim(0)
 
     def decode(self, packed: bytes) -> str:
         """Text of packed ids: marks become spaces, the first one of the text is dropped."""
@@ -244,18 +257,35 @@ def codec(model_path: str) -> PieceCodec:
     return _codecs[model_path]
 
 
+def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of rows with ``SLICE_ROWS`` rows and ``SLICE_BYTES`` bytes at most; a longer value is alone."""
+    start = held = 0
+    for at, size in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if at > start and (at - start >= SLICE_ROWS or held + size > SLICE_BYTES):
+            yield start, at - start
+            start, held = at, 0
+        held += size
+    if start < len(column):
+        yield start, len(column) - start
+
+
 def _mapped(df: DataFrame, keep: list[str], source: str, model_path: str, outs: list[tuple[str, T.DataType, pa.DataType]], make) -> DataFrame:
     """Columns ``keep`` and the columns ``outs`` that ``make`` forms from the codec and a value of ``source``."""
 
+    def made(known: PieceCodec, part: pa.RecordBatch) -> pa.RecordBatch:
+        values = zip(*(make(known, v.as_py()) for v in part.column(source)))
+        return pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(v, kind) for v, (_, _, kind) in zip(values, outs))],
+                                          [*keep, *(name for name, _, _ in outs)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(model_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                values = list(zip(*(make(known, v.as_py()) for v in part.column(source)))) or [[] for _ in outs]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(v, kind) for v, (_, _, kind) in zip(values, outs))],
-                                                 [*keep, *(name for name, _, _ in outs)])
-        known.forget()
+        try:
+            for batch in batches:
+                for at, n in slices(batch.column(source)):
+                    yield made(known, batch.slice(at, n))
+                del batch
+        finally:
+            known.forget()
 
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(name, kind) for name, kind, _ in outs])
     return df.select(*dict.fromkeys([*keep, source])).mapInArrow(run, schema)

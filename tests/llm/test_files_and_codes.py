@@ -3,7 +3,10 @@
 import base64
 import hashlib
 import io
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -193,3 +196,49 @@ def test_piece_frames(spark, pieces):
     assert piece_codec.encode(df.limit(0), path).collect() == []
     nulls = spark.createDataFrame([(None,)], "ids binary")
     assert piece_codec.decode(nulls, path).head()["decoded"] is None
+
+
+MEMORY = """
+import os, random
+from pathlib import Path
+import public_tokenizers
+from dossier.llm import piece_codec
+
+def used():
+    return int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+codec = piece_codec.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+rng, least, most = random.Random(3), used(), 0
+for _ in range(200):
+    codec.encode(" ".join("%x" % rng.getrandbits(40) for _ in range(1000)))
+    most = max(most, used())
+codec.forget()
+print(most - least, used() - least)
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_piece_codec_holds_little_memory_and_returns_it():
+    done = subprocess.run([sys.executable, "-c", MEMORY], capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    most, after = map(float, done.stdout.split())
+    assert most < 28 and after < 12, done.stdout
+
+
+def test_slices_are_bounded_by_rows_and_bytes():
+    for values in ([], [None], ["é"], ["x" * (1 << 21)], ["x" * 400_000, None, "", "y" * 700_000, "z"] * 3, ["ab"] * 1200, [b"x" * 5000] * 700):
+        column = pa.array(values, pa.binary() if values and isinstance(values[0], bytes) else pa.string())
+        got = list(piece_codec.slices(column))
+        assert [x for at, n in got for x in column.slice(at, n).to_pylist()] == values
+        for at, n in got:
+            assert n == 1 or 1 < n <= 512 and column.slice(at, n).nbytes <= (1 << 20) + 4 * (n + 1) + n
+
+
+def test_words_are_kept_while_a_text_turns_the_cache_over(pieces, monkeypatch):
+    path, _, library = pieces
+    monkeypatch.setattr(piece_codec, "CACHE_ROWS", 50)
+    codec, seen = piece_codec.PieceCodec(path), []
+    segment = codec.segment
+    monkeypatch.setattr(codec, "segment", lambda text: seen.append(text) or segment(text))
+    text = " ".join([*(f"w{i}" for i in range(60)), *["again"] * 100])
+    assert np.frombuffer(codec.encode(text), "<u4").tolist() == [1, *library.encode(text), 2]
+    assert seen.count("▁again") == 1
