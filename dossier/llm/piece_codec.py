@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Words, lines and pairs of pieces that are remembered: some 80 MB of a Python worker at most.
-CACHE_ROWS = 65_536
+#: Words, lines and pairs of pieces that are remembered: some 120 MB of a Python worker at most.
+CACHE_ROWS = 131_072
 PAIR_ROWS = 262_144
 #: Rows whose results go out together, and bytes of the values they are made from.
 SLICE_ROWS = 512
