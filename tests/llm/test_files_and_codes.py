@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import zstandard
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from dossier.llm import piece_codec, token_codes, warc_bundles
@@ -242,3 +243,54 @@ def test_words_are_kept_while_a_text_turns_the_cache_over(pieces, monkeypatch):
     text = " ".join([*(f"w{i}" for i in range(60)), *["again"] * 100])
     assert np.frombuffer(codec.encode(text), "<u4").tolist() == [1, *library.encode(text), 2]
     assert seen.count("▁again") == 1
+
+
+def test_new_words_of_a_slice_are_walked_together(pieces, monkeypatch):
+    path, _, library = pieces
+    codec, alone = piece_codec.PieceCodec(path), []
+    segment = codec.segment
+    monkeypatch.setattr(codec, "segment", lambda text: alone.append(text) or segment(text))
+    rng = random.Random(8)
+    slice_ = [" ".join("".join(rng.choices("aeinorstTh,.%", k=rng.randrange(1, 40))) + rng.choice(["", "\nThe"]) for _ in range(200)) for _ in range(20)]
+    frames = []
+    monkeypatch.setattr(piece_codec, "codec", lambda _: codec)
+
+    class Frame:
+        columns, schema = ["doc_id", "text"], T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+        select = lambda self, *_: self
+
+        def mapInArrow(self, run, _):
+            frames.extend(run(iter([pa.RecordBatch.from_pydict({"doc_id": [*range(20)], "text": slice_})])))
+
+    piece_codec.encode(Frame(), path)
+    assert not alone
+    for packed, text in zip(frames[0].column("ids").to_pylist(), slice_):
+        assert np.frombuffer(packed, "<u4").tolist() == [1, *library.encode(text), 2], text
+
+
+@pytest.mark.parametrize("rows, pairs, words", [(98_304, 262_144, 32_768), (50, 97, 7)])
+def test_slices_equal_the_library(pieces, monkeypatch, rows, pairs, words):
+    path, _, library = pieces
+    for name, value in (("CACHE_ROWS", rows), ("PAIR_ROWS", pairs), ("WALK_WORDS", words)):
+        monkeypatch.setattr(piece_codec, name, value)
+    codec = piece_codec.PieceCodec(path)
+    rng = random.Random(9)
+    many = [*texts(10, 600), *EDGES[1:], "  a  b ", "▁a▁ b", " \n x", "a" * 64, "a" * 65, "b\n" + "the" * 22, "\x00 \x00a a\x00",
+            *("".join(rng.choices(sorted(codec.letters), k=rng.randrange(1, 90))) for _ in range(600))]
+    for at in (0, 100, 700):
+        for text, packed in zip(many[at:], codec.encode_all(many[at:])):
+            assert np.frombuffer(packed, "<u4").tolist() == [1, *library.encode(text), 2], text
+        codec.forget()
+    assert codec.encode_all([]) == []
+
+
+def test_compatibility_of_many_equals_merging(pieces):
+    _, codec, _ = pieces
+    rng = random.Random(11)
+    ids = [i for _, (i, _) in codec.tree.items()]
+    odd = [i for i in ids if codec.halves[i] is None]
+    left, right = (np.array([*rng.choices(ids, k=4000), *rng.choices(odd or ids, k=50), *rng.choices(ids, k=50)]) for _ in range(2))
+    walks = piece_codec.Walks(codec)
+    for _ in range(2):  # new pairs, then remembered ones
+        for a, b, fit in zip(left.tolist(), right.tolist(), walks.fits(left, right).tolist()):
+            assert fit == (codec.merged(codec.pieces[a] + codec.pieces[b]) == [codec.pieces[a], codec.pieces[b]])
