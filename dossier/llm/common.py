@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dossier.session import work_dir, written
 
-__all__ = ["work_dir", "written", "table", "fresh", "write_file", "text_bytes", "words_of", "shingles", "perhaps_in", "components"]
+__all__ = ["work_dir", "written", "table", "fresh", "write_file", "read_file", "shuffles_removed", "text_bytes", "words_of", "shingles", "perhaps_in", "components"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,30 @@ def write_file(path: str, payload: bytes) -> None:
         store.delete_file(trial)  # a store that does not replace files has an equal one already
 
 
+def read_file(path: str) -> pa.Buffer:
+    """One whole file that ``write_file`` has written."""
+    if "://" not in path and path.startswith("file:"):
+        path = path[len("file:"):]
+    store, plain = fs.FileSystem.from_uri(path)
+    with store.open_input_file(plain) as source:
+        return source.read_buffer()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, what a query has shuffled goes from the disks when it ends, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 _rng = np.random.default_rng(20240611)
 #: One random odd 64-bit value per byte value, and the powers of a random odd base.
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -1,5 +1,6 @@
 """Similarity joins, decontamination and components against brute force."""
 
+import os
 import random
 import re
 
@@ -142,6 +143,80 @@ def test_subspace_against_brute_force(spark, monkeypatch):
     assert subspace_join.similar(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def linked_groups(rng, size):
+    """Vectors without any structure, near copies around the border, and one dense group."""
+    base = rng.standard_normal((700, size))
+    near = base[rng.integers(0, 700, 200)] + 0.45 * rng.standard_normal((200, size))
+    dense = base[0] + 0.1 * rng.standard_normal((400, size))
+    return np.concatenate([base, near, dense])[rng.permutation(1300)].astype(np.float32)
+
+
+@pytest.mark.parametrize("size, kind", [(64, np.float32), (6, np.float64), (3, np.float32)])
+def test_stars_of_chunks_against_brute_force(monkeypatch, size, kind):
+    """Each link is counted once, in one block and one pair of chunks, also where a cell is cut and where most pairs are linked."""
+    monkeypatch.setattr(subspace_join, "PAIRS", 300)
+    rng = np.random.default_rng(size)
+    x = linked_groups(rng, size).astype(kind)
+    weights = rng.integers(1, 4, len(x))
+    unit = subspace_join.units_of(x)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    turn = subspace_join.rotation(size)
+    every_pivot = subspace_join.fit_pivots(unit[:300] @ turn, 25)
+    links, edges = np.zeros(len(x), np.int64), []
+    for block, pivots in enumerate(every_pivot):
+        budget = subspace_join.Budget(block, 0.9, turn)
+        low, high = budget.share
+        home = subspace_join.nearest((unit @ turn)[:, low:high].astype(np.float32), pivots)
+        first, own = subspace_join.layout(np.bincount(home, minlength=len(pivots)), 90)
+        place = first[home] + np.arange(len(x)) % own[home]
+        assert np.bincount(place).max() <= 100 and len(np.unique(place)) > 13
+        chunks = []
+        for k in np.unique(place):
+            rows = np.flatnonzero(place == k)
+            rows = rows[np.argsort(home[rows], kind="stable")]
+            chunks.append(subspace_join.Chunk(rows, weights[rows], home[rows], x[rows], budget))
+        for i, left in enumerate(chunks):
+            for right in chunks[i:]:
+                ids, n, root = subspace_join.stars(left, right, pivots, budget)
+                assert len(np.unique(ids)) == len(ids) and (root <= ids).all()
+                links[ids] += n
+                edges += list(zip(ids.tolist(), root.tolist()))
+    assert links.tolist() == (linked @ weights).tolist()
+    want = roots(range(len(x)), list(zip(*(v.tolist() for v in np.nonzero(linked)))))
+    assert roots(range(len(x)), edges) == want
+
+
+def test_vectors_meet_without_being_written_again(spark, monkeypatch):
+    """What lies on the disks at once does not grow with the number of chunks that a vector meets."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1500, 64)).astype(np.float32)
+    x[700:800] = x[:100] + 0.1 * rng.standard_normal((100, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(subspace_join, "LEFT_CHUNK", 50)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    seen = []
+
+    def on_disk():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        shuffled = sum(files.apply(k).length() for k in range(files.length()) if files.apply(k).getName().startswith("shuffle"))
+        return shuffled + sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(shared) for f in names)
+
+    def watched(df, name):
+        out = written(df, name)
+        seen.append(on_disk())
+        return out
+
+    monkeypatch.setattr(subspace_join, "written", watched)
+    before = on_disk()
+    got = {r["vec_id"]: r["n_links"] for r in subspace_join.similar(df, 0.9).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    cosine = unit @ unit.T
+    np.fill_diagonal(cosine, 0)
+    assert got == dict(enumerate((cosine >= 0.9).sum(1).tolist()))
+    assert max(seen) - before < 4 * x.nbytes
+
+
 BENCH = [
     (1, "Anna bought 12 apples and 30 pears for 5 dollars on the market near the old river, how many fruits does Anna have?"),
     (2, "short question with five words"),
