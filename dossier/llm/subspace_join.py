@@ -47,7 +47,7 @@ SAMPLE, SAMPLE_EACH, PIVOTS = 4096, 4, 4096
 LEFT_CHUNK, RIGHT_CHUNK = 131_072, 16_384
 #: Bytes of a chunk, at most; vectors, at least, where fewer than CHUNKS chunks come out.
 CHUNK_BYTES, LEAST_CHUNK, CHUNKS = 32 << 20, 1024, 16
-TILE, WIDTH = 128, 4096
+TILE, SPACE, ROWS = 128, 1 << 19, 64
 PAIRS = 50_000
 ROUNDING = 1e-9
 #: Pivots closer than this, and a cell with itself, have no border: all pairs are compared.
@@ -92,6 +92,15 @@ def described(values: pa.ListArray, whole: bool) -> tuple[list[bytes | None], li
     return digests, raw
 
 
+def nearly_units_of(x: np.ndarray) -> np.ndarray:
+    """Single-precision unit vectors, within (size + 4) * SINGLE of each component's share."""
+    if x.dtype == np.float32:
+        squares = np.einsum("ij,ij->i", x, x)
+        if ((squares > 1e-20) & (squares < 1e20)).all():
+            return x / np.sqrt(squares)[:, None]
+    return np.concatenate([units_of(x[at:at + 4096]).astype(np.float32) for at in range(0, len(x), 4096)])
+
+
 def rotation(size: int) -> np.ndarray:
     """A fixed random orthogonal matrix."""
     q, r = np.linalg.qr(np.random.default_rng(size).standard_normal((size, size)))
@@ -152,7 +161,7 @@ class Budget(NamedTuple):
     def radius(self) -> float:
         """Of the block, with the error of both vectors' single-precision coordinates."""
         low, high = self.share
-        return float(np.sqrt(self.most(self.block)) + 2 * (len(self.turn) + 8) * SINGLE * np.sqrt(high - low)) + ROUNDING
+        return float(np.sqrt(self.most(self.block)) + 2 * (2 * len(self.turn) + 8) * SINGLE * np.sqrt(high - low)) + ROUNDING
 
     def counted(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Which pairs of linked unit vectors have this block as their first within its budget."""
@@ -175,11 +184,10 @@ class Chunk:
 
     def __init__(self, ids: np.ndarray, weights: np.ndarray, cells: np.ndarray, raw: np.ndarray, budget: Budget):
         self.ids, self.weights, self.raw = ids, weights, raw
-        self.cells, starts = np.unique(cells, return_index=True)
-        self.bounds = np.append(starts, len(ids))
+        starts = np.flatnonzero(np.diff(cells, prepend=-1))
+        self.cells, self.bounds = cells[starts], np.append(starts, len(ids))
         self.place = np.repeat(np.arange(len(self.cells)), np.diff(self.bounds))
-        units = [units_of(raw[at:at + 4096]).astype(np.float32) for at in range(0, len(raw), 4096)]
-        self.units = np.concatenate(units)
+        self.units = nearly_units_of(raw)
         low, high = budget.share
         self.part = self.units @ budget.turn[:, low:high].astype(np.float32)
         half = (self.part * self.part).sum(1, dtype=np.float32)[:, None] / 2
@@ -224,7 +232,7 @@ class Stars:
         size = len(self.budget.turn)
         for k in range(0, len(every[0]), PAIRS):
             i, j = (x[k:k + PAIRS] for x in every)
-            near = np.einsum("ij,ij->i", self.left.units[i], self.right.units[j]) >= self.budget.least - 2 * (size + 8) * SINGLE
+            near = np.einsum("ij,ij->i", self.left.units[i], self.right.units[j]) >= self.budget.least - 2 * (2 * size + 8) * SINGLE
             i, j = i[near], j[near]
             if not len(i):
                 continue
@@ -296,7 +304,7 @@ def stars(left: Chunk, right: Chunk, pivots: np.ndarray, budget: Budget) -> tupl
     if same:
         meet = np.triu(meet)
     limit = np.float32(-budget.radius ** 2 / 2 - (high - low + 8) * 2 * SINGLE)
-    space, hits = np.empty(TILE * WIDTH, np.float32), np.empty(TILE * WIDTH + 8, bool)
+    tiles = _Tiles(out, limit)
     for p, q in zip(*np.nonzero(meet)):
         inside = same and p == q
         i, x_depth = _inwards(left, p, x[q], np.inf if inside else radius[p, q] - y_least[p, q])
@@ -304,32 +312,54 @@ def stars(left: Chunk, right: Chunk, pivots: np.ndarray, budget: Budget) -> tupl
         rows, columns = left.left.take(i, 0), right.right.take(j, 0)
         ends = np.searchsorted(y_depth, radius[p, q] - x_depth[::TILE], "right").tolist()
         for at, upto in zip(range(0, len(i), TILE), ends):
-            tile = rows[at:at + TILE]
-            for to in range(at if inside else 0, upto, WIDTH):
-                wide = columns[to:min(to + WIDTH, upto)]
-                m, n = len(tile), len(wide)
-                half = np.matmul(tile, wide.T, out=space[:m * n].reshape(m, n))
-                np.greater_equal(half, limit, out=hits[:m * n].reshape(m, n))
-                found = _places(hits, m * n)
-                if len(found) > max(m * n / 8, 1024):
-                    out.all_of(i[at:at + m], j[to:to + n], inside)
-                elif len(found):
-                    s, t = i[at + found // n], j[to + found % n]
-                    if inside:
-                        s, t = s[s < t], t[s < t]
-                    out.maybe(s, t)
+            for to in range(at if inside else 0, upto, SPACE // TILE):
+                end = min(to + SPACE // TILE, upto)
+                tiles.compare(rows[at:at + TILE], columns[to:end], i[at:at + TILE], j[to:end], inside)
+    tiles.look()
     return out.rows()
 
 
-def _places(hits: np.ndarray, size: int) -> np.ndarray:
-    """Where the first ``size`` values are true; few are, so eight are looked at in one step first."""
-    words = -(-size // 8)
-    hits[size:8 * words] = False
-    some = np.flatnonzero(hits[:8 * words].view(np.uint64))
-    if not len(some):
-        return some
-    at, bit = np.nonzero(hits[:8 * words].reshape(words, 8)[some])
-    return 8 * some[at] + bit
+class _Tiles:
+    """Products of left and right rows, some tiles in a row, and the pairs among them that reach a limit."""
+
+    def __init__(self, out: Stars, limit: np.float32):
+        self.out, self.limit, self.used = out, limit, 0
+        self.space = np.empty(SPACE, np.float32)
+        self.held: list[tuple[int, np.ndarray, np.ndarray, bool]] = []
+
+    def compare(self, rows: np.ndarray, columns: np.ndarray, i: np.ndarray, j: np.ndarray, inside: bool) -> None:
+        m, n = len(rows), len(columns)
+        if self.used + m * n > SPACE:
+            self.look()
+        np.matmul(rows, columns.T, out=self.space[self.used:self.used + m * n].reshape(m, n))
+        self.held.append((self.used, i, j, inside))
+        self.used += m * n
+
+    def look(self) -> None:
+        found = _places(self.space[:self.used], self.limit)
+        if len(found):
+            starts = [start for start, *_ in self.held]
+            cuts = np.append(np.searchsorted(found, starts), len(found))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                start, i, j, inside = self.held[k]
+                here = found[cuts[k]:cuts[k + 1]] - start
+                if len(here) > max(len(i) * len(j) / 8, 1024):
+                    self.out.all_of(i, j, inside)
+                    continue
+                s, t = i[here // len(j)], j[here % len(j)]
+                if inside:
+                    s, t = s[s < t], t[s < t]
+                self.out.maybe(s, t)
+        self.held, self.used = [], 0
+
+
+def _places(values: np.ndarray, limit: np.float32) -> np.ndarray:
+    """Where values reach the limit, in order; few do, so the maximum of each of many columns is looked at first."""
+    width = len(values) // ROWS
+    table, rest = values[:ROWS * width].reshape(ROWS, width), ROWS * width
+    some = np.flatnonzero(table.max(0, initial=-np.inf) >= limit)
+    row, at = np.nonzero(table[:, some] >= limit)
+    return np.concatenate([row * width + some[at], rest + np.flatnonzero(values[rest:] >= limit)])
 
 
 def _inwards(chunk: Chunk, cell: int, depth: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
@@ -346,7 +376,7 @@ def _inwards(chunk: Chunk, cell: int, depth: np.ndarray, most: float) -> tuple[n
 
 def similar(df: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """One row per row of ``df``: vec_id, n_links, component_id, kept."""
-    single = dict(df.dtypes)[vector] == "array<float>"
+    single = df.select(vector).dtypes[0][1] == "array<float>"
     source = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<float>" if single else "array<double>").alias("v"))
     with shuffles_removed(df.sparkSession):
         return _similar(source, least, np.dtype(np.float32 if single else np.float64))
@@ -488,11 +518,22 @@ def _chunked(points: DataFrame, budget: Budget, pivots: np.ndarray, in_cell: np.
     return [f"{folder}/{k}.arrow" for k in sorted(r["chunk"] for r in made)]
 
 
+def pairs_between(n: int, begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """Some of the pairs (i, j) of numbers below n, j from i on, in their order."""
+    i, j = 0, begin
+    while j >= n - i > 0:
+        i, j = i + 1, j - (n - i)
+    j += i
+    for _ in range(begin, end):
+        yield i, j
+        i, j = (i, j + 1) if j + 1 < n else (i + 1, i + 1)
+
+
 def _met(spark: SparkSession, paths: list[str], budget: Budget, pivots: np.ndarray, chunk: int, kind: np.dtype) -> DataFrame:
     """(vec_id, links, root) rows of all pairs of chunk files, some pairs in a row for each task."""
-    pairs = [(i, j) for i in range(len(paths)) for j in range(i, len(paths))]
-    wanted = max(2 * spark.sparkContext.defaultParallelism, len(pairs) * chunk * chunk // (LEFT_CHUNK * RIGHT_CHUNK))
-    number = max(1, min(len(pairs), wanted))
+    count = len(paths) * (len(paths) + 1) // 2
+    wanted = max(2 * spark.sparkContext.defaultParallelism, count * chunk * chunk // (LEFT_CHUNK * RIGHT_CHUNK))
+    number = max(1, min(count, wanted))
 
     def load(path: str) -> Chunk:
         table = pa.ipc.open_file(read_file(path)).read_all().combine_chunks()
@@ -503,7 +544,7 @@ def _met(spark: SparkSession, paths: list[str], budget: Budget, pivots: np.ndarr
         for batch in batches:
             for task in batch.column(0).to_pylist():
                 at = -1
-                for i, j in pairs[task * len(pairs) // number:(task + 1) * len(pairs) // number]:
+                for i, j in pairs_between(len(paths), task * count // number, (task + 1) * count // number):
                     if at != i:
                         at, left = i, load(paths[i])
                     got = stars(left, left if i == j else load(paths[j]), pivots, budget)
